@@ -19,9 +19,7 @@ def parse_json_messages(
     output can be inspected and replayed. Broken text gives NULL columns.
     """
     text = F.col(value).cast("string")
-    return df.select(*keep, text.alias(RAW), F.from_json(text, schema).alias("input")).select(
-        *keep, RAW, "input.*"
-    )
+    return _expand(df, text, F.from_json(text, schema), keep)
 
 
 def parse_csv_messages(
@@ -35,7 +33,15 @@ def parse_csv_messages(
     """The same for one delimited line per message."""
     text = F.col(value).cast("string")
     parsed = F.from_csv(text, schema.toDDL(), {"header": "false", "sep": separator})
-    return df.select(*keep, text.alias(RAW), parsed.alias("input")).select(*keep, RAW, "input.*")
+    return _expand(df, text, parsed, keep)
+
+
+def _expand(df: DataFrame, text: Column, parsed: Column, keep: Sequence[str]) -> DataFrame:
+    # `inline` turns the parsed struct into columns and, as a generator, keeps
+    # the parse from being copied into every later expression: a filter on n
+    # of the columns would otherwise be pushed down as n more parses per row.
+    # An unreadable message is a struct of NULLs, so no row is lost.
+    return df.select(*keep, text.alias(RAW), F.inline(F.array(parsed)))
 
 
 def all_present(columns: Iterable[str]) -> Column:

@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def class_balance(indexed: DataFrame, *, label: str, index: str) -> DataFrame:
-    """Rows per class: (class, label text, count)."""
-    return indexed.groupBy(F.col(index).alias("class")).agg(
-        F.min(label).alias("label"), F.count(label).alias("num_rows")
+    """Rows per class: (class, label, num_rows).
+
+    Rows are first counted per (class, label), which hashes; a minimum of text
+    would make Spark sort the whole table. The second step sees one row per
+    class and label.
+    """
+    counts = indexed.groupBy(F.col(index).alias("class"), F.col(label).alias("label")).agg(
+        F.count(label).alias("n")
+    )
+    return counts.groupBy("class").agg(
+        F.min("label").alias("label"), F.sum("n").alias("num_rows")
     )
 
 

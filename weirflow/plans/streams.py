@@ -24,6 +24,7 @@ from weirflow.workspace import new_path
 
 plans = Registry()
 
+FILES_PER_BATCH = 5_000
 _PARTS = ("hour", "minute", "second", "year", "month", "day")
 MEASURES = struct_of(
     l_quantity="double",
@@ -48,6 +49,11 @@ def _event_feed(spark, sf) -> MessageFolder:
     return topic
 
 
+def _stream(spark, topic):
+    # A backlog of any size is worked off in micro-batches of bounded size.
+    return stream_messages(spark, topic, max_per_trigger=FILES_PER_BATCH)
+
+
 @plans.query(
     "stream_ingest_json",
     """SELECT event_id, user_id, event_type, value, hour(ts) AS hour, minute(ts) AS minute,
@@ -59,7 +65,7 @@ def stream_ingest_json(spark, sf):
     the second run finds nothing new and adds nothing."""
     topic, lake = _event_feed(spark, sf), new_path(spark, "lake")
     for _ in range(2):
-        rows = measurements(stream_messages(spark, topic), SENSOR_LINE)
+        rows = measurements(_stream(spark, topic), SENSOR_LINE)
         land(rows, lake, fmt="json", available_now=True).awaitTermination()
     landed = spark.read.schema(T.StructType(EVENT_LAKE.fields + DAY_PARTITIONS.fields)).json(lake)
     return landed.withColumns({c: F.col(c).cast("long") for c in _PARTS})
@@ -81,7 +87,7 @@ def stream_land_parquet(spark, sf):
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
     publish(as_messages(events), topic)
-    rows = predictions(stream_messages(spark, topic), schema)
+    rows = predictions(_stream(spark, topic), schema)
     land(rows, output, fmt="parquet", available_now=True).awaitTermination()
     landed = spark.read.parquet(output)
     clock = F.hour("Timestamp") * 3600 + F.minute("Timestamp") * 60 + F.second("Timestamp")
@@ -99,7 +105,7 @@ def stream_land_parquet(spark, sf):
 def stream_foreach_batch(spark, sf):
     """Micro-batches of a paced stream, each written under its batch id."""
     topic, output = _event_feed(spark, sf), new_path(spark, "batches")
-    rows = measurements(stream_messages(spark, topic), SENSOR_LINE)
+    rows = measurements(_stream(spark, topic), SENSOR_LINE)
     for_each_batch(
         rows.select("event_id", "user_id", "event_type", "value"),
         batch_folder_sink(output),
@@ -165,7 +171,7 @@ def stream_score(spark, sf):
     messages = items.select(F.expr(_USABLE).alias("usable"), json_value(MEASURES.fieldNames()))
     publish(messages.select(text.alias("value")), topic)
     arguments = {"measures": MEASURES, "predicted": "predicted", "output": "predicted_flag"}
-    scored, bad = score_json_messages(stream_messages(spark, topic), model, **arguments)
+    scored, bad = score_json_messages(_stream(spark, topic), model, **arguments)
     queries = [
         start(stream_to(scored, scored_topic, new_path(spark, "checkpoint")), available_now=True),
         start(stream_to(bad, bad_topic, new_path(spark, "checkpoint")), available_now=True),

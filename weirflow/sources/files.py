@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.operators.ranking import number_rows
 from weirflow.schemas import DAY_PARTITIONS
-from weirflow.sources.hadoop import absolute_name
+from weirflow.sources.hadoop import absolute_name, indexed_files
 from weirflow.workspace import materialize
 
 PathArg = str | Sequence[str]
@@ -75,30 +75,40 @@ def read_day(spark: SparkSession, root: str, schema: T.StructType, day: str) ->
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, url, relative_path, folder, name, length, modified) of all files
+    """(url, path, relative_path, folder, name, length, modified) of all files
     below `root`; `url` is the form `_metadata.file_path` uses in other scans.
 
-    File contents are not read. Names starting with a dot or an underscore are
-    invisible to Spark's file sources and so not listed.
+    File contents are not read. A scan leaves empty files out, so the names
+    come from the file index and the sizes are joined to them; an empty file
+    has length 0 and no modification time. Names starting with a dot or an
+    underscore are invisible to Spark's file sources and so not listed.
     """
-    base = absolute_name(spark, root).rstrip("/") + "/"
-    absolute = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    return (
+    scan = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(root)
         .select(
-            "path",
             F.col("_metadata.file_path").alias("url"),
-            F.substring(absolute, F.lit(len(base) + 1), F.lit(2**31 - 1)).alias("relative_path"),
-            F.col("length"),
+            "length",
             F.col("modificationTime").alias("modified"),
         )
-        .withColumns(
-            {
-                "folder": F.regexp_replace("relative_path", "/?[^/]*$", ""),
-                "name": F.regexp_extract("relative_path", "[^/]*$", 0),
-            }
+    )
+    base = absolute_name(spark, root).rstrip("/") + "/"
+    # A plus sign stands for itself in a path, for a blank in url_decode.
+    path = F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B")))
+    absolute = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    relative = F.substring(absolute, F.lit(len(base) + 1), F.lit(2**31 - 1))
+    return (
+        indexed_files(scan)
+        .join(scan, "url", "left")
+        .select(
+            "url",
+            path.alias("path"),
+            relative.alias("relative_path"),
+            F.regexp_replace(relative, "/?[^/]*$", "").alias("folder"),
+            F.regexp_extract(relative, "[^/]*$", 0).alias("name"),
+            F.coalesce("length", F.lit(0)).alias("length"),
+            "modified",
         )
     )
 

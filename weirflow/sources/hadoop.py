@@ -3,7 +3,8 @@ renaming and deleting. They touch names only, never file contents."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -20,5 +21,16 @@ def absolute_name(spark: SparkSession, path: str) -> str:
     return qualified.toUri().getPath()
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    return filesystem(spark, path).exists(hadoop_path(spark, path))
+def indexed_files(scan: DataFrame) -> DataFrame:
+    """(url): the files in the index of a file scan, empty ones included.
+
+    The driver holds this index for every file scan; only names pass here,
+    fetched as one text because urls contain no line break.
+    """
+    spark = scan.sparkSession
+    names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
+    urls = pd.DataFrame({"url": names.split("\n") if names else []}, dtype="str")
+    # Scans write an empty host as scheme:/path, the index as scheme:///path.
+    return spark.createDataFrame(urls, "url string").select(
+        F.regexp_replace("url", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("url")
+    )

@@ -15,29 +15,25 @@ from weirflow.streaming.common import default_checkpoint, start
 DAY_FOLDERS = ("year", "month", "day")
 
 
-def lines_with_calendar(
+def timed_lines(
     messages: DataFrame,
     schema: T.StructType = OCCUPANCY_LINE,
     *,
     time_column: str = "date",
     pattern: str = SECONDS_PATTERN,
-    keep_raw: bool = False,
 ) -> DataFrame:
-    """Delimited message lines as columns, with a parsed `timestamp` and the
-    calendar columns of it. Unparsable fields are NULL."""
+    """Delimited message lines as columns, with the time parsed to `timestamp`.
+    Unparsable fields are NULL; the line itself stays in `raw_message`."""
     rows = parse_csv_messages(messages, schema)
-    rows = with_calendar(
-        rows.withColumn("timestamp", parse_timestamp(time_column, pattern)), "timestamp"
-    )
-    return rows if keep_raw else rows.drop(RAW)
+    return rows.withColumn("timestamp", parse_timestamp(time_column, pattern))
 
 
-def measurements(messages: DataFrame, schema: T.StructType = OCCUPANCY_LINE, *,
-                 time_column: str = "date") -> DataFrame:
+def measurements(
+    messages: DataFrame, schema: T.StructType = OCCUPANCY_LINE, *, time_column: str = "date"
+) -> DataFrame:
     """Rows as they land in the JSON lake: fields and calendar columns only."""
-    return lines_with_calendar(messages, schema, time_column=time_column).drop(
-        time_column, "timestamp"
-    )
+    rows = timed_lines(messages, schema, time_column=time_column).drop(RAW, time_column)
+    return with_calendar(rows, "timestamp").drop("timestamp")
 
 
 def predictions(

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from weirflow.functions.calendar import with_calendar
 from weirflow.functions.parsing import RAW, json_value, parse_json_messages, split_usable
 from weirflow.schemas import IRIS_MEASURES, OCCUPANCY_LINE
-from weirflow.streaming.landing import lines_with_calendar
+from weirflow.streaming.landing import timed_lines
 
 # Columns the occupancy model is trained on. Seconds are left out.
 OCCUPANCY_FEATURES = (
@@ -55,10 +56,14 @@ def score_lines(
     The value holds Timestamp, the label sent along, and the integer
     Prediction. Calendar columns stem from the line's time.
     """
+    # The calendar columns are NULL exactly when the time is, so the time is
+    # checked before they are derived.
+    sent = [c for c in schema.fieldNames() if c in features]
     rows, bad = split_usable(
-        lines_with_calendar(messages, schema, time_column=time_column, keep_raw=True), features
+        timed_lines(messages, schema, time_column=time_column), ["timestamp", *sent]
     )
-    scored = model.transform(rows.drop(RAW, time_column)).select(
+    timed = with_calendar(rows.drop(RAW, time_column), "timestamp")
+    scored = model.transform(timed).select(
         F.col("timestamp").alias("Timestamp"),
         F.col(label),
         F.col("prediction").cast("int").alias("Prediction"),
