@@ -169,21 +169,42 @@ def test_compaction_deletes_only_what_it_copied(spark, stage, tmp_path):
     assert len(files_below(tmp_path / "ods")) == 3
 
 
-def test_large_folder_becomes_several_files_in_line_order(spark, tmp_path):
+@pytest.fixture
+def tiny_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_large_folder_becomes_several_files_in_line_order(spark, tmp_path, tiny_splits):
     root, expected = tmp_path / "stage", []
     for part in range(6):
         lines = [f"{part}-{i}" for i in range(200)]
         expected += lines
         write(root / "date=2021-01-01" / f"part-{part:04d}.csv", "\n".join(lines))
     write(root / "date=2021-01-02" / "part-0000.csv", "small")
-    compact_folders(spark, str(root), str(tmp_path / "ods"), target_file_bytes=2500)
+    compact_folders(spark, str(root), str(tmp_path / "ods"), target_file_bytes=900)
     names = files_below(tmp_path / "ods")
-    assert names[-1] == "date=2021-01-02/part-0000.csv" and len(names) > 2
     assert names[0] == "date=2021-01-01/part-0000.csv"
+    assert names[-1] == "date=2021-01-02/part-0000.csv"
+    # A file may run over by one split.
+    assert len(names) == 9
+    sizes = [(tmp_path / "ods" / n).stat().st_size for n in names]
+    assert max(sizes) <= 900 + 300 + 10
     text = "".join((tmp_path / "ods" / n).read_text() for n in names[:-1])
     assert text.splitlines() == expected
 
 
+def test_numbered_lines_over_many_splits(spark, tmp_path, tiny_splits):
+    lines = [f"line {i}" for i in range(300)]
+    write(tmp_path / "feed.csv", "\n".join(["header", *lines]))
+    got = read_lines_numbered(spark, str(tmp_path / "feed.csv"))
+    assert sorted(tuples(got), key=lambda r: int(r[0])) == [
+        (str(i + 1), line) for i, line in enumerate(lines)
+    ]
+
+
 def test_compaction_refuses_to_write_in_place(spark, stage):
     with pytest.raises(ValueError):
         compact_folders(spark, str(stage), f"file:{stage}/")

@@ -1,13 +1,14 @@
 """Queries that go through a database.
 
-The database is the one the session names; a cluster must name one that all
-executors reach. Only a single-process session without the setting falls back
-to a database inside its own process or on its own disk.
+The database is the one the session names (see the settings below). Without
+it, the JDBC queries use a database inside the process of a local session, and
+fail with a clear message on a cluster, whose executors could not see it; the
+queries of the named table format use a database file in the shared folder.
 """
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import SparkSession, functions as F
@@ -22,7 +23,7 @@ from weirflow.sources import dbtable
 from weirflow.sources.jdbc import (
     JdbcDatabase, append_table, execute, read_table, read_table_by_ranges,
 )
-from weirflow.workspace import new_path
+from weirflow.workspace import shared_root
 
 plans = Registry()
 
@@ -55,12 +56,16 @@ def dbapi_options(spark: SparkSession) -> dict[str, str]:
         names = ("driver", "user", "password", "connectOptions")
         found = {n: spark.conf.get(f"{prefix}{n}", None) for n in names}
         return {"url": url, **{k: v for k, v in found.items() if v}}
-    if not is_local(spark):
+    # A database file in the shared folder, where that is a plain folder.
+    folder = shared_root(spark).removeprefix("file:")
+    if ":" in folder.split("/", 1)[0]:
         raise RuntimeError(f"set {DBAPI_URL} to a database that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="weirflow-sqlite-")
+    os.makedirs(f"{folder}/weirflow", exist_ok=True)
     # Tasks write at the same time; each waits for its turn.
     return {
-        "driver": "sqlite3", "url": f"{folder}/tables.db", "connectOptions": '{"timeout": 600}',
+        "driver": "sqlite3",
+        "url": f"{folder}/weirflow/{_unique('tables')}.db",
+        "connectOptions": '{"timeout": 600}',
     }
 
 

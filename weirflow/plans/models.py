@@ -86,7 +86,9 @@ def _split_report(train, test):
         F.count(F.lit(1)).alias("num_rows"),
         F.count_if(F.col("a") + F.col("b") == 1).alias("num_in_one_part"),
         F.count_if((F.col("a") > 0) & (F.col("b") > 0)).cast("int").alias("num_in_both"),
-        F.avg("a").between(0.66, 0.74).cast("int").alias("is_near_share"),
+        # Within five standard deviations of the share for this many rows.
+        (F.abs(F.avg("a") - 0.7) <= 5 * F.sqrt(0.21 / F.count(F.lit(1)))).cast("int")
+        .alias("is_near_share"),
     )
 
 

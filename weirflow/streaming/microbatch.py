@@ -42,7 +42,8 @@ def batch_folder_sink(path: str, fmt: str = "parquet") -> BatchSink:
 
 def client_sink(send_rows: Callable[[Iterable[Row]], None]) -> BatchSink:
     """Sends rows from the executors to an outside system. `send_rows` runs
-    once per partition and opens one client for all of its rows."""
+    once per partition and opens one client for all of its rows. A partition
+    that runs again sends its rows again, so receivers should know them by key."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.foreachPartition(send_rows)
