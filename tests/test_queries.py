@@ -30,16 +30,8 @@ def test_matches_sql(spark, sf, database, name):
     )
 
 
-def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"tree_fit_predict"}
-
-
-def test_tree_fit_predict_is_accurate_and_whole(spark, sf):
-    rows = QUERIES["tree_fit_predict"](spark, sf).collect()
-    total = sum(r.num_rows for r in rows)
-    assert total == spark.read.parquet(f"{sf}/lineitem.parquet").count()
-    assert sum(r.num_rows for r in rows if r.price_class == r.predicted) / total > 0.95
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
