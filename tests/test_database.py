@@ -92,7 +92,8 @@ def test_jdbc_prunes_and_pushes_down(spark, derby):
 
 def test_datamart_snapshots(spark, derby):
     create_datamart(spark, derby)
-    metrics = spark.createDataFrame([("total_rides", 3.0), ("dist_min", 0.0)], "metric string, value double")
+    rows = [("total_rides", 3.0), ("dist_min", 0.0)]
+    metrics = spark.createDataFrame(rows, "metric string, value double")
     assert next_snapshot_id(spark, derby) == 0
     assert [append_snapshot(metrics, derby) for _ in range(2)] == [0, 1]
     stats = read_query(spark, derby, "SELECT MAX(id) AS m, COUNT(*) AS n FROM rides_datamart")

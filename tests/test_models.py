@@ -18,7 +18,8 @@ def rows(spark):
     for i in range(600):
         kind = ("low", "middle", "high")[i % 3]
         data.append((i, draw.gauss(10 * (i % 3), 1.0), draw.random(), kind, i % 3))
-    return spark.createDataFrame(data, "id int, a double, b double, kind string, code int").repartition(4)
+    columns = "id int, a double, b double, kind string, code int"
+    return spark.createDataFrame(data, columns).repartition(4)
 
 
 def test_index_is_by_frequency_then_name(spark):
@@ -46,7 +47,9 @@ def test_split_by_key_ignores_partitioning(rows):
 
 
 def test_text_classifier_saved_and_loaded(rows, tmp_path):
-    trained = train_text_classifier(rows, features=FEATURES, label="kind", predicted="predicted", key=["id"])
+    trained = train_text_classifier(
+        rows, features=FEATURES, label="kind", predicted="predicted", key=["id"]
+    )
     assert trained.metrics.first().accuracy > 0.95
     for _ in range(2):  # the second save replaces the first
         save_model(trained.model, str(tmp_path / "m"))

@@ -2,12 +2,13 @@ from datetime import datetime
 
 from conftest import tuples
 from weirflow.operators.popularity import count_by_hour, rank_by_popularity, reconcile_counts
+from weirflow.schemas import TAXI_ZONES
 
 ZONES = [(1, "Bronx", "A", "Boro"), (2, "Queens", "B", "YELLOW"), (3, "EWR", "C", "EWR")]
 
 
 def zones(spark, rows=ZONES):
-    return spark.createDataFrame(rows, "LocationID int, Borough string, Zone string, service_zone string")
+    return spark.createDataFrame(rows, TAXI_ZONES)
 
 
 def facts(spark, keys):

@@ -1,0 +1,85 @@
+"""A third of all rows under one key, day or path: results stay whole and the
+hot group is spread over tasks or shrunk before it is shuffled."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import tuples
+from weirflow.operators.popularity import rank_by_popularity
+from weirflow.operators.ranking import number_rows, tail_per_partition
+from weirflow.sinks.files import save_by_partition
+
+ROWS = 30_000
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 100 + 1000)
+    return spark.range(0, ROWS, 1, 6).select("id", key.alias("key"))
+
+
+def shuffled_records(df):
+    """Records written by each exchange of an executed plan, smallest first."""
+    df.collect()
+    found = []
+
+    def visit(node):
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            visit(node.executedPlan())
+        if hasattr(node, "plan") and node.getClass().getSimpleName().endswith("StageExec"):
+            visit(node.plan())
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return sorted(found)
+
+
+def test_popularity_shuffles_counts_not_facts(spark, facts):
+    dims = facts.select("key").distinct().withColumn("name", F.concat(F.lit("k"), "key"))
+    ranked = rank_by_popularity(
+        facts, dims, fact_key="key", dim_key="key", attributes=["name"], count_name="n"
+    )
+    assert tuples(ranked.limit(1)) == [(7, ROWS // 3, "k7")]
+    assert ranked.agg(F.sum("n")).first()[0] == ROWS
+    # Six tasks send at most one row per key each.
+    assert max(shuffled_records(ranked)) <= 6 * 101
+
+
+def test_tail_shuffles_n_rows_per_key_and_task(spark, facts):
+    tail = tail_per_partition(facts, partition=["key"], position="id", n=5)
+    hot = sorted(r.id for r in tail.filter("key = 7").collect())
+    assert hot == [ROWS - 3 * i for i in range(5, 0, -1)]
+    assert max(shuffled_records(tail)) <= 6 * 101 * 5
+
+
+def test_numbers_are_spread_over_tasks(spark, facts):
+    numbered = number_rows(facts, [F.asc("key"), F.asc("id")])
+    assert numbered.agg(F.min("row_num"), F.max("row_num"), F.countDistinct("row_num")).first()[:] == (
+        1, ROWS, ROWS,
+    )
+    assert numbered.filter("key = 7 AND row_num > 10000").count() == 0
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16kb",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1kb",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    day = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 6 + 2)
+    text = F.sha1(F.col("id").cast("string")).alias("v")
+    rows = spark.range(0, ROWS, 1, 6).select(text, day.alias("day"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        save_by_partition(rows, str(tmp_path / "lake"), ["day"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d.name: len(list(d.glob("part-*"))) for d in (tmp_path / "lake").glob("day=*")}
+    assert files["day=1"] > 3
+    assert spark.read.json(str(tmp_path / "lake")).count() == ROWS

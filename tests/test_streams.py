@@ -15,7 +15,7 @@ from weirflow.schemas import IRIS_MEASURES, OCCUPANCY_LAKE, OCCUPANCY_LINE
 from weirflow.sinks.messages import as_messages, publish
 from weirflow.sources.files import read_day
 from weirflow.sources.messages import (
-    KafkaTopic, MessageFolder, read_messages, read_tail, stream_messages, tail_offsets,
+    KafkaTopic, MessageFolder, client_settings, read_messages, read_tail, stream_messages, tail_offsets,
 )
 from weirflow.streaming.common import default_checkpoint, run_until_stopped
 from weirflow.streaming.landing import land, measurements
@@ -106,9 +106,11 @@ def test_tail_offsets_of_kafka():
     assert json.loads(tail_offsets(ends, 5)) == {"books": {"0": 0, "1": 0, "2": 7}}
 
 
-def test_kafka_tail_needs_a_checkpoint(spark):
-    with pytest.raises(ValueError):
-        read_tail(spark, KafkaTopic("host:9092", "books"))
+def test_client_settings_of_kafka():
+    topic = KafkaTopic("host:9092", "books", {"kafka.security.protocol": "SSL", "minPartitions": "9"})
+    settings = client_settings(topic)
+    assert settings["bootstrap.servers"] == "host:9092"
+    assert settings["security.protocol"] == "SSL" and "minPartitions" not in settings
 
 
 def test_ingest_restart_adds_nothing_and_new_messages_arrive(spark, tmp_path):

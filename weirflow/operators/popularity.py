@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from weirflow.functions.calendar import utc_hour
 
-_COPIES = "_dimension_copies"
+_FACT_KEY, _FACTS, _COPIES = "_fact_key", "_fact_count", "_dimension_copies"
+
+
+def _facts_per_key(facts: DataFrame, fact_key: str) -> DataFrame:
+    return facts.groupBy(F.col(fact_key).alias(_FACT_KEY)).agg(F.count(F.lit(1)).alias(_FACTS))
 
 
 def _dimension_per_key(dims: DataFrame, dim_key: str, attributes: Sequence[str]) -> DataFrame:
@@ -39,17 +43,11 @@ def rank_by_popularity(
     A dimension key listed several times multiplies its count, as joining row
     by row would.
     """
-    counts = facts.groupBy(fact_key).agg(F.count(F.lit(1)).alias("_facts"))
-    zones = _dimension_per_key(dims, dim_key, attributes)
-    return (
-        counts.join(zones, counts[fact_key] == zones[dim_key])
-        .select(
-            zones[dim_key],
-            (F.col("_facts") * F.col(_COPIES)).alias(count_name),
-            *[zones[a] for a in attributes],
-        )
-        .orderBy(F.desc(count_name), F.asc(dim_key))
+    joined = _facts_per_key(facts, fact_key).join(
+        _dimension_per_key(dims, dim_key, attributes), F.col(_FACT_KEY) == F.col(dim_key)
     )
+    number = (F.col(_FACTS) * F.col(_COPIES)).alias(count_name)
+    return joined.select(dim_key, number, *attributes).orderBy(F.desc(count_name), F.asc(dim_key))
 
 
 def reconcile_counts(
@@ -57,12 +55,12 @@ def reconcile_counts(
 ) -> DataFrame:
     """One row: raw fact count, fact count after the join, and whether they
     agree. One scan of the facts serves both numbers."""
-    counts = facts.groupBy(fact_key).agg(F.count(F.lit(1)).alias("_facts"))
-    zones = _dimension_per_key(dims, dim_key, [])
-    joined = counts.join(zones, counts[fact_key] == zones[dim_key], "left")
+    joined = _facts_per_key(facts, fact_key).join(
+        _dimension_per_key(dims, dim_key, []), F.col(_FACT_KEY) == F.col(dim_key), "left"
+    )
     totals = joined.agg(
-        F.coalesce(F.sum("_facts"), F.lit(0)).alias("num_raw"),
-        F.coalesce(F.sum(F.col("_facts") * F.col(_COPIES)), F.lit(0)).alias("num_joined"),
+        F.coalesce(F.sum(_FACTS), F.lit(0)).alias("num_raw"),
+        F.coalesce(F.sum(F.col(_FACTS) * F.col(_COPIES)), F.lit(0)).alias("num_joined"),
     )
     return totals.select("*", (F.col("num_raw") == F.col("num_joined")).alias("is_equal"))
 

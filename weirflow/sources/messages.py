@@ -89,33 +89,43 @@ def tail_offsets(end_offsets: str, n: int) -> str:
     )
 
 
-def latest_offsets(spark: SparkSession, topic: KafkaTopic, checkpoint: str) -> str:
-    """End offsets of all partitions. A stream that starts at the end reports
-    them without reading a message."""
-    query = (
-        stream_messages(spark, topic, starting_offsets="latest")
-        .writeStream.format("noop")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    end = query.lastProgress["sources"][0]["endOffset"]
-    return end if isinstance(end, str) else json.dumps(end)
-
-
-def read_tail(
-    spark: SparkSession, topic: Topic, n: int = 5, *, checkpoint: str | None = None
-) -> DataFrame:
+def latest_offsets(spark: SparkSession, topic: KafkaTopic) -> str:
+    """End offsets of all partitions as JSON: one metadata request by the
+    client library that the Kafka connector brings along; no message is read."""
+    jvm = spark._jvm
+    settings = jvm.java.util.Properties()
+    for name, value in client_settings(topic).items():
+        settings.setProperty(name, value)
+    consumer = jvm.org.apache.kafka.clients.consumer.KafkaConsumer(settings)
+    try:
+        partitions = jvm.java.util.ArrayList()
+        for info in consumer.partitionsFor(topic.topic):
+            partitions.add(jvm.org.apache.kafka.common.TopicPartition(topic.topic, info.partition()))
+        ends = {str(p.partition()): int(end) for p, end in consumer.endOffsets(partitions).items()}
+    finally:
+        consumer.close()
+    return json.dumps({topic.topic: ends})
+
+
+def client_settings(topic: KafkaTopic) -> dict[str, str]:
+    """The topic's `kafka.` options as the client library names them."""
+    decoder = "org.apache.kafka.common.serialization.ByteArrayDeserializer"
+    given = {
+        name.removeprefix("kafka."): str(value)
+        for name, value in topic.settings().items()
+        if name.startswith("kafka.")
+    }
+    return {"key.deserializer": decoder, "value.deserializer": decoder, **given}
+
+
+def read_tail(spark: SparkSession, topic: Topic, n: int = 5) -> DataFrame:
     """The last n messages of every partition as of the call.
 
     From Kafka exactly those offsets are fetched; a folder keeps n rows per
     partition and task before it shuffles.
     """
     if isinstance(topic, KafkaTopic):
-        if checkpoint is None:
-            raise ValueError("a Kafka tail needs a checkpoint folder to find the end offsets")
-        ends = latest_offsets(spark, topic, checkpoint)
+        ends = latest_offsets(spark, topic)
         return read_messages(
             spark, topic, starting_offsets=tail_offsets(ends, n), ending_offsets=ends
         )
