@@ -189,9 +189,12 @@ def test_flowers_stream_equals_batch_and_bad_go_aside(spark, tmp_path):
 
     query = score_flowers_by_batch(
         spark, source, batch_folder_sink(str(tmp_path / "batches")), model,
-        str(tmp_path / "cp2"), available_now=True,
+        str(tmp_path / "cp2"), bad_sink=batch_folder_sink(str(tmp_path / "bad_batches")),
+        available_now=True,
     )
     query.awaitTermination()
+    aside = spark.read.parquet(str(tmp_path / "bad_batches")).collect()
+    assert sorted(r.value for r in aside) == ["{broken", "{}"]
     by_batch = spark.read.parquet(str(tmp_path / "batches")).select("key", "value").collect()
     assert sorted(r.value for r in by_batch) == sorted(r.value.decode() for r in rows)
 

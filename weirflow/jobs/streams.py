@@ -18,7 +18,9 @@ from weirflow.sources.messages import Topic, stream_messages
 from weirflow.streaming.common import start
 from weirflow.streaming.landing import land, measurements, predictions
 from weirflow.streaming.microbatch import BatchSink, for_each_batch
-from weirflow.streaming.scoring import OCCUPANCY_FEATURES, score_json_messages, score_lines
+from weirflow.streaming.scoring import (
+    OCCUPANCY_FEATURES, score_json_messages, score_lines, scoring_sink,
+)
 
 
 def ingest_occupancy(
@@ -101,13 +103,18 @@ def score_flowers_by_batch(
     model_path: str,
     checkpoint: str,
     *,
+    bad_sink: BatchSink | None = None,
     period_seconds: float | None = 1,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """The same with one callback per micro-batch, every second by default."""
-    scored, _ = score_json_messages(stream_messages(spark, source), load_model(model_path))
+    """The same with one callback per micro-batch, every second by default.
+    Both outputs come from one read of the source."""
     return for_each_batch(
-        scored, sink, checkpoint, period_seconds=period_seconds, available_now=available_now
+        stream_messages(spark, source),
+        scoring_sink(load_model(model_path), sink, bad_sink),
+        checkpoint,
+        period_seconds=period_seconds,
+        available_now=available_now,
     )
 
 

@@ -11,6 +11,7 @@ from weirflow.functions.calendar import with_calendar
 from weirflow.functions.parsing import RAW, json_value, parse_json_messages, split_usable
 from weirflow.schemas import IRIS_MEASURES, OCCUPANCY_LINE
 from weirflow.streaming.landing import timed_lines
+from weirflow.streaming.microbatch import BatchSink
 
 # Columns the occupancy model is trained on. Seconds are left out.
 OCCUPANCY_FEATURES = (
@@ -33,7 +34,11 @@ def score_json_messages(
     class as JSON value. The model would fail on a NULL measure and stop the
     query, so messages that lack one go to the second output as raw text.
     """
-    rows, bad = split_usable(parse_json_messages(messages, measures), measures.fieldNames())
+    return _score_parsed(parse_json_messages(messages, measures), model, measures, predicted, output)
+
+
+def _score_parsed(parsed, model, measures, predicted, output) -> tuple[DataFrame, DataFrame]:
+    rows, bad = split_usable(parsed, measures.fieldNames())
     scored = model.transform(rows.drop(RAW)).select(
         *measures.fieldNames(), F.col(predicted).alias(output)
     )
@@ -42,6 +47,33 @@ def score_json_messages(
     )
 
 
+def scoring_sink(
+    model: PipelineModel,
+    sink: BatchSink,
+    bad_sink: BatchSink | None = None,
+    *,
+    measures: T.StructType = IRIS_MEASURES,
+    predicted: str = "predictedSpecies",
+    output: str = "predicted_species",
+) -> BatchSink:
+    """Scores a micro-batch of raw messages and hands both outputs on; with two
+    sinks the batch is read and parsed once for both."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_json_messages(batch, measures)
+        if bad_sink is not None:
+            parsed.persist()
+        try:
+            scored, bad = _score_parsed(parsed, model, measures, predicted, output)
+            sink(scored, batch_id)
+            if bad_sink is not None:
+                bad_sink(bad, batch_id)
+        finally:
+            parsed.unpersist()
+
+    return run
+
+
 def score_lines(
     messages: DataFrame,
     model: PipelineModel,
