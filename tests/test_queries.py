@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from weirflow.plans.catalog import all_oracles, all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,7 @@ def test_matches_sql(spark, sf, database, name):
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
