@@ -1,9 +1,9 @@
 """All registered queries of this folder and their oracles."""
 
-from weirflow.llm import language, simhash
+from weirflow.llm import decontamination, language, simhash
 from weirflow.llm.common import plans
 
-MODULES = (language, simhash)
+MODULES = (language, simhash, decontamination)
 
 
 def all_queries():
