@@ -11,7 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weirflow.llm.common import prepare
+from weirflow.llm.decontamination import remove_contaminated
 from weirflow.llm.language import keep_identified
+from weirflow.llm.packing import pack
+from weirflow.llm.secret_scan import mask_secrets
+from weirflow.llm.simhash import keep_one_of_each
 from weirflow.plans.registry import table
 from weirflow.session import configure
 from weirflow.workspace import materialize
@@ -29,6 +33,10 @@ def _stage(function: Stage) -> Stage:
 
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", _stage(keep_identified)),
+    ("near_dedup", _stage(keep_one_of_each)),
+    ("decontamination", _stage(remove_contaminated)),
+    ("secret_scan", _stage(mask_secrets)),
+    ("packing", _stage(pack)),
 ]
 
 #: Fitted language models, hashing and packing have no SQL form.

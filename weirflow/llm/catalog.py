@@ -1,9 +1,9 @@
 """All registered queries of this folder and their oracles."""
 
-from weirflow.llm import decontamination, language, secret_scan, simhash
+from weirflow.llm import decontamination, language, packing, secret_scan, simhash
 from weirflow.llm.common import plans
 
-MODULES = (language, simhash, decontamination, secret_scan)
+MODULES = (language, simhash, decontamination, secret_scan, packing)
 
 
 def all_queries():
