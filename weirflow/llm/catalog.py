@@ -1,9 +1,27 @@
 """All registered queries of this folder and their oracles."""
 
-from weirflow.llm import decontamination, language, packing, secret_scan, simhash
+from weirflow.llm import (
+    decontamination,
+    language,
+    packing,
+    secret_scan,
+    sharding,
+    simhash,
+    syncmers,
+    token_counts,
+)
 from weirflow.llm.common import plans
 
-MODULES = (language, simhash, decontamination, secret_scan, packing)
+MODULES = (
+    decontamination,
+    language,
+    packing,
+    secret_scan,
+    sharding,
+    simhash,
+    syncmers,
+    token_counts,
+)
 
 
 def all_queries():
