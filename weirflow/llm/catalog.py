@@ -9,6 +9,7 @@ from weirflow.llm import (
     simhash,
     syncmers,
     token_counts,
+    toxicity,
 )
 from weirflow.llm.common import plans
 
@@ -21,6 +22,7 @@ MODULES = (
     simhash,
     syncmers,
     token_counts,
+    toxicity,
 )
 
 
