@@ -49,13 +49,12 @@ def bases(word: str) -> list[str]:
 def forms(base: str, count: int, words: int) -> list[str]:
     """Features of a base that stands `count` times in a text of `words` words."""
     found = [base]
-    if base[-1] == "*":
-        if count >= 2:
-            found.append(base + "2")
-        if count >= 3 and 100 * count >= words:
-            found.append(base + "%")
-        if count >= 3 and 50 * count >= words:
-            found.append(base + "%%")
+    if count >= 2:
+        found.append(base + "2")
+    if count >= 3 and 100 * count >= words:
+        found.append(base + "%")
+    if count >= 3 and 50 * count >= words:
+        found.append(base + "%%")
     return found
 
 
@@ -83,7 +82,7 @@ class SeverityModel:
 
     def vectors(self, texts: Iterable[str | None]) -> list[list[int]]:
         """Feature numbers of each text, via the bases that occur in any feature."""
-        wanted = {f.rstrip("2%") if "*" in f else f for f in self.numbers}
+        wanted = {f.rstrip("2%") for f in self.numbers}
         known: dict[str, tuple[str, ...]] = {}
         vectors = []
         for text in texts:
@@ -115,7 +114,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_ordinal(
     vectors: list[list[int]], grades: np.ndarray, features: int, levels: int,
-    *, penalty: float = 2e-4, steps: int = 800, rate: float = 0.1,
+    *, penalty: float = 3e-5, steps: int = 1500, rate: float = 0.1,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) by penalised maximum likelihood, full gradients with
     adaptive steps. Thresholds are kept in order by fitting the logarithms of
