@@ -2,6 +2,7 @@
 
 from weirflow.llm import (
     decontamination,
+    extraction,
     language,
     packing,
     secret_scan,
@@ -15,6 +16,7 @@ from weirflow.llm.common import plans
 
 MODULES = (
     decontamination,
+    extraction,
     language,
     packing,
     secret_scan,
