@@ -28,7 +28,7 @@ from weirflow.plans.registry import table
 
 TRAINING_PAGES = 300
 LAYOUTS_PER_PAGE = 6
-TREES = 40
+TREES = 60
 DEPTH = 4
 BINS = 32
 RATE = 0.2
@@ -251,7 +251,8 @@ class BoostedTrees:
 def fit_trees(
     rows: np.ndarray, labels: np.ndarray, *, trees: int = TREES, depth: int = DEPTH
 ) -> BoostedTrees:
-    """Second-order boosting of the logistic loss over feature histograms."""
+    """Second-order boosting of the logistic loss over feature histograms; every
+    tree is grown on another half of the rows."""
     if len(labels) == 0 or labels.min() == labels.max():
         kept = 10.0 if len(labels) == 0 or labels[0] else -10.0
         return BoostedTrees(kept, np.zeros((0, 1), int), np.zeros((0, 1)), np.zeros((0, 1)))
@@ -262,22 +263,27 @@ def fit_trees(
     start = float(np.log(rate / (1 - rate)))
     margin = np.full(len(labels), start)
     all_features, all_limits, all_values = [], [], []
+    binned = np.ascontiguousarray(binned.T.astype(np.int32))
+    halves = np.random.default_rng(0)
+    every = np.arange(len(labels))
     for _ in range(trees):
         chance = 1 / (1 + np.exp(-margin))
         slope, weight = labels - chance, chance * (1 - chance)
+        half = halves.permutation(len(labels))[: -(-len(labels) // 2)]
+        half_slope, half_weight, half_bins = slope[half], weight[half], binned[:, half]
         place = np.zeros(len(labels), np.int64)
         feature = np.zeros(2**depth - 1, np.int64)
         limit = np.full(2**depth - 1, np.inf)
         for level in range(depth):
             first, nodes = 2**level - 1, 2**level
             best = np.full(nodes, 1e-6)
-            node = place - first
+            node = (place[half] - first) * BINS
             for f in range(width):
                 if not len(cuts[f]):
                     continue
-                cell = node * BINS + binned[:, f]
-                g = np.bincount(cell, slope, nodes * BINS).reshape(nodes, BINS)
-                h = np.bincount(cell, weight, nodes * BINS).reshape(nodes, BINS)
+                cell = node + half_bins[f]
+                g = np.bincount(cell, half_slope, nodes * BINS).reshape(nodes, BINS)
+                h = np.bincount(cell, half_weight, nodes * BINS).reshape(nodes, BINS)
                 left_g, left_h = g.cumsum(1)[:, :-1], h.cumsum(1)[:, :-1]
                 total_g, total_h = g.sum(1, keepdims=True), h.sum(1, keepdims=True)
                 right_g, right_h = total_g - left_g, total_h - left_h
@@ -289,7 +295,7 @@ def fit_trees(
                 best[better] = gain[np.arange(nodes), at][better]
                 feature[first : first + nodes][better] = f
                 limit[first : first + nodes][better] = cuts[f][np.minimum(at, len(cuts[f]) - 1)][better]
-            place = 2 * place + 1 + (rows[np.arange(len(rows)), feature[place]] > limit[place])
+            place = 2 * place + 1 + (rows[every, feature[place]] > limit[place])
         leaf = place - (2**depth - 1)
         g = np.bincount(leaf, slope, 2**depth)
         h = np.bincount(leaf, weight, 2**depth)
