@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import tuples
 from weirflow.operators.compaction import compact_folders
@@ -93,6 +94,15 @@ def test_day_scan_prunes_and_restores_partitions(spark, tmp_path):
         read_day(spark, lake, OCCUPANCY_LAKE, "04.02.2015")
 
 
+def test_inventory_keeps_empty_files(spark, tmp_path):
+    write(tmp_path / "t" / "a" / "empty.txt", "")
+    write(tmp_path / "t" / "b c+d" / "full.txt", "123")
+    listed = list_files(spark, str(tmp_path / "t"))
+    assert sorted(tuples(listed.select("relative_path", "length"))) == [
+        ("a/empty.txt", 0), ("b c+d/full.txt", 3),
+    ]
+
+
 def test_inventory_order(spark, tmp_path):
     for name in ("b/z.txt", "b/a/x y.txt", "a.txt", "c.txt", "b/a.txt", "a/q.txt"):
         write(tmp_path / name, "12345")
@@ -140,18 +150,23 @@ def files_below(root):
     )
 
 
+def texts_below(root):
+    """Per folder the text of its files in name order, and how many they are."""
+    found = {}
+    for name in files_below(root):
+        if not name.startswith("_"):
+            text, n = found.get(name.split("/")[0], ("", 0))
+            found[name.split("/")[0]] = (text + (root / name).read_text(), n + 1)
+    return found
+
+
 def test_compaction(spark, stage, tmp_path):
-    before = files_below(stage)
-    target = tmp_path / "ods"
-    compact_folders(spark, str(stage), str(target))
-    assert files_below(target) == [
-        "date=2020-12-03/part-0000.csv",
-        "date=2020-12-04/part-0001.csv",
-        "date=2020-12-05/part-0007.csv",
-    ]
-    merged = (target / "date=2020-12-03" / "part-0000.csv").read_text()
-    assert merged == 'a,"x, y"\nb\nc\n\nd\ne\n'
-    assert (target / "date=2020-12-04" / "part-0001.csv").read_text() == ""
+    before, target = files_below(stage), tmp_path / "ods"
+    assert compact_folders(spark, str(stage), str(target)) == 7
+    assert texts_below(target) == {
+        "date=2020-12-03": ('a,"x, y"\nb\nc\n\nd\ne\n', 1), "date=2020-12-05": ("one\n", 1),
+    }
+    assert (target / "date=2020-12-04").is_dir()
     assert files_below(stage) == before
 
 
@@ -165,8 +180,38 @@ def test_compaction_deletes_only_what_it_copied(spark, stage, tmp_path):
         "stray/part-0000.csv",
     ]
     # A second run finds nothing and changes nothing.
-    compact_folders(spark, str(stage), str(tmp_path / "ods"), delete_sources=True)
-    assert len(files_below(tmp_path / "ods")) == 3
+    assert compact_folders(spark, str(stage), str(tmp_path / "ods"), delete_sources=True) == 0
+    assert len(texts_below(tmp_path / "ods")) == 2
+
+
+def test_a_smaller_second_run_leaves_nothing_of_the_first(spark, tmp_path):
+    target = tmp_path / "ods"
+    for n, days in ((1200, ("2021-01-01", "2021-01-02")), (100, ("2021-01-01",)), (0, ("2021-01-01",))):
+        root = tmp_path / f"stage{n}"
+        for day in days:
+            write(root / f"date={day}" / "part-0000.csv", "".join(f"line {i}\n" for i in range(n)))
+        compact_folders(spark, str(root), str(target), target_file_bytes=5_000)
+        lines = {k: len(t.splitlines()) for k, (t, _) in texts_below(target).items()}
+        assert lines.get("date=2021-01-01", 0) == n
+        assert lines["date=2021-01-02"] == 1200
+
+
+def test_compaction_leaves_no_intermediates(spark, stage, tmp_path):
+    from pathlib import Path
+
+    from weirflow.operators.ranking import number_rows
+    from weirflow.workspace import intermediates, shared_root
+
+    def left():
+        return {str(p) for p in Path(shared_root(spark).removeprefix("file:")).glob("weirflow/*")}
+
+    before = left()
+    compact_folders(spark, str(stage), str(tmp_path / "ods"))
+    assert left() == before
+    with intermediates(spark):
+        assert number_rows(spark.range(5), [F.desc("id")]).count() == 5
+        assert left() != before
+    assert left() == before
 
 
 @pytest.fixture
@@ -184,22 +229,22 @@ def test_large_folder_becomes_several_files_in_line_order(spark, tmp_path, tiny_
         expected += lines
         write(root / "date=2021-01-01" / f"part-{part:04d}.csv", "\n".join(lines))
     write(root / "date=2021-01-02" / "part-0000.csv", "small")
+    size = sum(p.stat().st_size for p in (root / "date=2021-01-01").iterdir())
     compact_folders(spark, str(root), str(tmp_path / "ods"), target_file_bytes=900)
-    names = files_below(tmp_path / "ods")
-    assert names[0] == "date=2021-01-01/part-0000.csv"
-    assert names[-1] == "date=2021-01-02/part-0000.csv"
+    found = texts_below(tmp_path / "ods")
+    assert found["date=2021-01-01"][1] == -(-size // 900) and found["date=2021-01-02"][1] == 1
+    assert found["date=2021-01-01"][0].splitlines() == expected
     # A file may run over by one split.
-    assert len(names) == 9
-    sizes = [(tmp_path / "ods" / n).stat().st_size for n in names]
+    sizes = [p.stat().st_size for p in (tmp_path / "ods").glob("date=*/*.txt")]
     assert max(sizes) <= 900 + 300 + 10
-    text = "".join((tmp_path / "ods" / n).read_text() for n in names[:-1])
-    assert text.splitlines() == expected
 
 
 def test_numbered_lines_over_many_splits(spark, tmp_path, tiny_splits):
     lines = [f"line {i}" for i in range(300)]
     write(tmp_path / "feed.csv", "\n".join(["header", *lines]))
     got = read_lines_numbered(spark, str(tmp_path / "feed.csv"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
     assert sorted(tuples(got), key=lambda r: int(r[0])) == [
         (str(i + 1), line) for i, line in enumerate(lines)
     ]

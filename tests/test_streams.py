@@ -15,7 +15,7 @@ from weirflow.schemas import IRIS_MEASURES, OCCUPANCY_LAKE, OCCUPANCY_LINE
 from weirflow.sinks.messages import as_messages, publish
 from weirflow.sources.files import read_day
 from weirflow.sources.messages import (
-    KafkaTopic, MessageFolder, client_settings, read_messages, read_tail, stream_messages, tail_offsets,
+    KafkaTopic, MessageFolder, Reading, client_settings, read_messages, read_tail, stream_messages, tail_offsets,
 )
 from weirflow.streaming.common import default_checkpoint, run_until_stopped
 from weirflow.streaming.landing import land, measurements
@@ -117,10 +117,10 @@ def test_ingest_restart_adds_nothing_and_new_messages_arrive(spark, tmp_path):
     topic, lake = MessageFolder(str(tmp_path / "t")), str(tmp_path / "lake")
     send(spark, topic, lines(30))
     for expected in (30, 30):
-        ingest_occupancy(spark, topic, lake, available_now=True).awaitTermination()
+        ingest_occupancy(spark, topic, lake, str(tmp_path / "bad"), available_now=True).awaitTermination()
         assert read_day(spark, lake, OCCUPANCY_LAKE, "2015-02-04").count() == expected
     send(spark, topic, lines(5) + lines(7, day=5))
-    ingest_occupancy(spark, topic, lake, available_now=True).awaitTermination()
+    ingest_occupancy(spark, topic, lake, str(tmp_path / "bad"), available_now=True).awaitTermination()
     assert read_day(spark, lake, OCCUPANCY_LAKE, "2015-02-04").count() == 35
     assert read_day(spark, lake, OCCUPANCY_LAKE, "2015-02-05").count() == 7
     row = read_day(spark, lake, OCCUPANCY_LAKE, "2015-02-05").orderBy("minute").first()
@@ -131,31 +131,33 @@ def test_ingest_restart_adds_nothing_and_new_messages_arrive(spark, tmp_path):
 def test_bad_lines_do_not_stop_ingestion(spark, tmp_path):
     topic, lake = MessageFolder(str(tmp_path / "t")), str(tmp_path / "lake")
     send(spark, topic, BAD_LINES + lines(3))
-    ingest_occupancy(spark, topic, lake, available_now=True).awaitTermination()
-    assert spark.read.schema(OCCUPANCY_LAKE).json(lake).count() == len(BAD_LINES) + 3
+    ingest_occupancy(spark, topic, lake, str(tmp_path / "bad"), available_now=True).awaitTermination()
+    # The line with one bad measure still has its time and lands.
+    landed = spark.read.schema(OCCUPANCY_LAKE).json(lake)
+    aside = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert landed.count() == 3 + 2
+    assert sorted(r.raw_message for r in aside) == sorted(t for t in BAD_LINES if t[:4] != "2015")
 
 
 def test_occupancy_from_feed_to_landed_predictions(spark, tmp_path):
     feed, out, bad = (MessageFolder(str(tmp_path / n)) for n in ("feed", "out", "bad"))
     lake, landed = str(tmp_path / "lake"), str(tmp_path / "landed")
     send(spark, feed, lines(300) + BAD_LINES)
-    ingest_occupancy(spark, feed, lake, available_now=True).awaitTermination()
+    ingest_occupancy(spark, feed, lake, str(tmp_path / "aside"), available_now=True).awaitTermination()
 
     by_day = train_occupancy(spark, lake, str(tmp_path / "model"), day="2015-02-04")
-    assert by_day.metrics.first().accuracy > 0.95
+    assert by_day.metrics.first().accuracy > 0.95 and by_day.removed == 2
 
-    for query in score_occupancy(
-        spark, feed, out, str(tmp_path / "model"), str(tmp_path / "cp"),
-        bad_target=bad, available_now=True,
-    ):
-        query.awaitTermination()
+    score_occupancy(
+        spark, feed, out, bad, str(tmp_path / "model"), str(tmp_path / "cp"), available_now=True
+    ).awaitTermination()
     assert sorted(values(spark, bad)) == sorted(BAD_LINES)
     messages = [json.loads(v) for v in values(spark, out)]
     assert len(messages) == 300
     assert set(messages[0]) == {"Timestamp", "Occupancy", "Prediction"}
     assert all(m["Occupancy"] == m["Prediction"] for m in messages)
 
-    land_predictions(spark, out, landed, available_now=True).awaitTermination()
+    land_predictions(spark, out, landed, str(tmp_path / "aside2"), available_now=True).awaitTermination()
     rows = spark.read.parquet(landed)
     assert rows.count() == 300
     assert rows.filter("year = 2015 AND month = 2 AND day = 4").count() == 300
@@ -166,7 +168,7 @@ def test_occupancy_from_csv(spark, tmp_path):
     header = ",".join(OCCUPANCY_LINE.fieldNames())
     (tmp_path / "train.csv").write_text("\n".join([header, *lines(200), BAD_LINES[2]]))
     trained = train_occupancy(spark, str(tmp_path / "train.csv"), str(tmp_path / "model"))
-    assert trained.metrics.first().accuracy > 0.95
+    assert trained.metrics.first().accuracy > 0.95 and trained.removed == 1
 
 
 def test_flowers_stream_equals_batch_and_bad_go_aside(spark, tmp_path):
@@ -175,10 +177,9 @@ def test_flowers_stream_equals_batch_and_bad_go_aside(spark, tmp_path):
     assert trained.metrics.first().accuracy > 0.9
     source, out, bad = (MessageFolder(str(tmp_path / n)) for n in ("in", "out", "bad"))
     send(spark, source, [flower(x) for x in (1.4, 4.4, 5.9)] + ["{broken", "{}"])
-    for query in score_flowers(
-        spark, source, out, model, str(tmp_path / "cp"), bad_target=bad, available_now=True
-    ):
-        query.awaitTermination()
+    score_flowers(
+        spark, source, out, bad, model, str(tmp_path / "cp"), available_now=True
+    ).awaitTermination()
     rows = read_messages(spark, out).collect()
     assert sorted(r.key.decode() for r in rows) == ["setosa", "versicolor", "virginica"]
     for r in rows:
@@ -188,8 +189,8 @@ def test_flowers_stream_equals_batch_and_bad_go_aside(spark, tmp_path):
     assert sorted(values(spark, bad)) == ["{broken", "{}"]
 
     query = score_flowers_by_batch(
-        spark, source, batch_folder_sink(str(tmp_path / "batches")), model,
-        str(tmp_path / "cp2"), bad_sink=batch_folder_sink(str(tmp_path / "bad_batches")),
+        spark, source, batch_folder_sink(str(tmp_path / "batches")),
+        batch_folder_sink(str(tmp_path / "bad_batches")), model, str(tmp_path / "cp2"),
         available_now=True,
     )
     query.awaitTermination()
@@ -211,7 +212,7 @@ def test_batches_skip_empty_and_replay_once(spark, tmp_path):
         sink(batch, batch_id)
         sink(batch, batch_id)
 
-    rows = stream_messages(spark, topic, max_per_trigger=1).select(
+    rows = stream_messages(spark, topic, Reading(max_per_trigger=1)).select(
         F.col("value").cast("string").alias("v")
     ).filter("v <> 'skip'")
     for_each_batch(rows, record, str(tmp_path / "cp"), available_now=True).awaitTermination()
@@ -220,6 +221,57 @@ def test_batches_skip_empty_and_replay_once(spark, tmp_path):
     assert sorted(r.v for r in stored.collect()) == ["a", "b", "c"]
 
 
+def test_a_new_checkpoint_replaces_no_earlier_batch(spark, tmp_path):
+    topic = MessageFolder(str(tmp_path / "t"))
+    send(spark, topic, ["a", "b"])
+    for n in range(2):
+        rows = stream_messages(spark, topic).select(F.col("value").cast("string").alias("v"))
+        for_each_batch(
+            rows, batch_folder_sink(str(tmp_path / "out")), str(tmp_path / f"cp{n}"), available_now=True
+        ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_messages_sent_at_the_start_reach_one_output_each(spark, tmp_path):
+    """Two starts of the job on one checkpoint, messages arriving in between."""
+    model = str(tmp_path / "model")
+    train_flowers(spark, flower_csv(tmp_path / "iris.csv"), model)
+    source, out, bad = (MessageFolder(str(tmp_path / n)) for n in ("in", "out", "bad"))
+    send(spark, source, [flower(1.4), "{broken"])
+    query = score_flowers(spark, source, out, bad, model, str(tmp_path / "cp"), period_seconds=0.2)
+    send(spark, source, [flower(4.4), "{}"])
+    query.processAllAvailable()
+    query.stop()
+    send(spark, source, [flower(5.9), "late"])
+    score_flowers(
+        spark, source, out, bad, model, str(tmp_path / "cp"), available_now=True
+    ).awaitTermination()
+    assert len(values(spark, out)) == 3
+    assert sorted(values(spark, bad)) == ["late", "{broken", "{}"]
+
+
+def test_paced_stream_runs_several_batches(spark, sf, tmp_path):
+    from weirflow.plans.streams import paced_batches
+
+    paced_batches(spark, sf, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("batch_id=*"))) >= 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == spark.read.parquet(
+        f"{sf}/events.parquet").count()
+
+
+def test_event_lines_keep_their_fields(spark):
+    from weirflow.plans.scans import SENSOR_LINE, event_lines
+
+    events = spark.createDataFrame(
+        [(1, None, 'a,"b', 2.0), (2, 7, None, None)], "event_id long, user_id long, event_type string, value double"
+    ).withColumn("ts", F.to_timestamp(F.lit("2024-01-01 10:00:00")))
+    sent = events.select(event_lines(events).alias("value"))
+    rows = parse_csv_messages(sent, SENSOR_LINE).drop("raw_message")
+    assert sorted(tuples(rows)) == [
+        ("2024-01-01 10:00:00", 1, None, 'a,"b', 2.0), ("2024-01-01 10:00:00", 2, 7, None, None),
+    ]
+
+
 def test_rows_sent_from_executors(spark, tmp_path):
     topic, mailbox = MessageFolder(str(tmp_path / "t")), tmp_path / "mail"
     mailbox.mkdir()
@@ -247,8 +299,8 @@ def test_period_trigger_and_clean_stop(spark, tmp_path):
     topic = MessageFolder(str(tmp_path / "t"))
     send(spark, topic, lines(3))
     query = land(
-        measurements(stream_messages(spark, topic)), str(tmp_path / "lake"), fmt="json",
-        period_seconds=0.2,
+        stream_messages(spark, topic), measurements, str(tmp_path / "lake"), str(tmp_path / "bad"),
+        fmt="json", period_seconds=0.2,
     )
     query.processAllAvailable()
     assert query.isActive

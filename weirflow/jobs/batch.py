@@ -18,8 +18,9 @@ from weirflow.sources.messages import Topic
 
 
 def popular_zones(spark: SparkSession, facts: str, zones: str, output: str) -> dict[str, int]:
-    """Pickup zones by popularity, written as Parquet; returns raw and joined
-    fact counts, of which the second is observed while writing."""
+    """Pickup zones by popularity, written as Parquet files that follow each
+    other in rank order; returns raw and joined fact counts, of which the second
+    is observed while writing."""
     rides = read_parquet(spark, facts)
     ranked = rank_by_popularity(
         rides,
@@ -29,9 +30,7 @@ def popular_zones(spark: SparkSession, facts: str, zones: str, output: str) -> d
         attributes=["Borough", "Zone", "service_zone"],
     )
     seen = Observation("popular_zones")
-    save_parquet(
-        ranked.observe(seen, F.sum("num_pickups").alias("joined")), output, single_file=True
-    )
+    save_parquet(ranked.observe(seen, F.sum("num_pickups").alias("joined")), output)
     return {"raw": rides.count(), "joined": seen.get["joined"] or 0}
 
 
@@ -67,7 +66,8 @@ def country_report(
     spark: SparkSession, source: str, output: str, region: str = "Africa", k: int = 10
 ) -> None:
     """Read country documents, write the top k as one JSON array."""
-    save_json_array(largest_countries(read_json_arrays(spark, source, COUNTRIES), region, k), output)
+    largest = largest_countries(read_json_arrays(spark, source, COUNTRIES), region, k)
+    save_json_array(largest, output, rows_per_document=k)
 
 
 def publish_books(spark: SparkSession, source: str, topic: Topic) -> None:

@@ -3,114 +3,115 @@ query; callers wait with `run_until_stopped`."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.functions.calendar import SECONDS_PATTERN, parse_timestamp, with_calendar
-from weirflow.functions.parsing import all_present
+from weirflow.functions.parsing import split_usable
 from weirflow.ml.training import (
     Trained, load_model, save_model, train_classifier, train_text_classifier,
 )
 from weirflow.schemas import IRIS, IRIS_MEASURES, OCCUPANCY_LAKE, OCCUPANCY_LINE
-from weirflow.sinks.messages import stream_to
 from weirflow.sources.files import read_csv, read_day
-from weirflow.sources.messages import Topic, stream_messages
-from weirflow.streaming.common import start
+from weirflow.sources.messages import Reading, Topic, stream_messages
 from weirflow.streaming.landing import land, measurements, predictions
-from weirflow.streaming.microbatch import BatchSink, for_each_batch
-from weirflow.streaming.scoring import (
-    OCCUPANCY_FEATURES, score_json_messages, score_lines, scoring_sink,
-)
+from weirflow.streaming.microbatch import BatchSink, both_outputs, for_each_batch, message_sink
+from weirflow.streaming.scoring import OCCUPANCY_FEATURES, score_lines, scoring_sink
 
 
 def ingest_occupancy(
-    spark: SparkSession, source: Topic, landing_zone: str, *, checkpoint: str | None = None, **trigger
+    spark: SparkSession, source: Topic, landing_zone: str, bad_lines: str, *,
+    checkpoint: str | None = None, reading: Reading = Reading(), **trigger,
 ) -> StreamingQuery:
-    """Sensor lines → JSON lake by day."""
-    rows = measurements(stream_messages(spark, source))
-    return land(rows, landing_zone, fmt="json", checkpoint=checkpoint, **trigger)
+    """Sensor lines → JSON lake by day; lines without a time go to `bad_lines`."""
+    messages = stream_messages(spark, source, reading)
+    return land(messages, measurements, landing_zone, bad_lines, fmt="json",
+                checkpoint=checkpoint, **trigger)
 
 
 def train_occupancy(
     spark: SparkSession, source: str, output: str, *, day: str | None = None, seed: int = 42
 ) -> Trained:
-    """Train on a CSV file, or on one day of the JSON lake, and save the model."""
+    """Train on a CSV file, or on one day of the JSON lake, and save the model.
+    Rows that lack a value are left out and counted in `removed`."""
     if day is None:
         lines = read_csv(spark, source, OCCUPANCY_LINE)
         timed = lines.withColumn("timestamp", parse_timestamp("date", SECONDS_PATTERN))
         rows = with_calendar(timed, "timestamp").drop("date", "timestamp")
     else:
         rows = read_day(spark, source, OCCUPANCY_LAKE, day)
-    usable = rows.filter(all_present([*OCCUPANCY_FEATURES, "Occupancy"]))
+    usable, unusable = split_usable(rows, [*OCCUPANCY_FEATURES, "Occupancy"])
     trained = train_classifier(usable, features=OCCUPANCY_FEATURES, label="Occupancy", seed=seed)
     save_model(trained.model, output)
-    return trained
+    return replace(trained, removed=unusable.count())
 
 
 def train_flowers(spark: SparkSession, source: str, output: str, *, seed: int = 42) -> Trained:
-    """Train the species classifier on a CSV file and save it."""
-    trained = train_text_classifier(
-        read_csv(spark, source, IRIS),
-        features=IRIS_MEASURES.fieldNames(),
-        label="species",
-        seed=seed,
-    )
+    """Train the species classifier on a CSV file and save it; rows that lack a
+    value are left out and counted in `removed`."""
+    measures = IRIS_MEASURES.fieldNames()
+    usable, unusable = split_usable(read_csv(spark, source, IRIS), [*measures, "species"])
+    trained = train_text_classifier(usable, features=measures, label="species", seed=seed)
     save_model(trained.model, output)
-    return trained
+    return replace(trained, removed=unusable.count())
 
 
 def score_flowers(
     spark: SparkSession,
     source: Topic,
     target: Topic,
+    bad_target: Topic,
     model_path: str,
     checkpoint: str,
     *,
-    bad_target: Topic | None = None,
+    reading: Reading = Reading(),
     **trigger,
-) -> list[StreamingQuery]:
-    """Measurements → species messages; bad messages go to their own topic."""
-    scored, bad = score_json_messages(stream_messages(spark, source), load_model(model_path))
-    return _both(scored, bad, target, bad_target, checkpoint, trigger)
+) -> StreamingQuery:
+    """Measurements → species messages; bad messages go to their own topic. One
+    query with one checkpoint feeds both."""
+    return score_flowers_by_batch(
+        spark, source, message_sink(target), message_sink(bad_target), model_path, checkpoint,
+        reading=reading, **{"period_seconds": None, **trigger},
+    )
 
 
 def score_occupancy(
     spark: SparkSession,
     source: Topic,
     target: Topic,
+    bad_target: Topic,
     model_path: str,
     checkpoint: str,
     *,
-    bad_target: Topic | None = None,
+    reading: Reading = Reading(),
     **trigger,
-) -> list[StreamingQuery]:
-    """Sensor lines → prediction messages; bad lines go to their own topic."""
-    scored, bad = score_lines(stream_messages(spark, source), load_model(model_path))
-    return _both(scored, bad, target, bad_target, checkpoint, trigger)
-
-
-def _both(scored, bad, target, bad_target, checkpoint, trigger) -> list[StreamingQuery]:
-    queries = [start(stream_to(scored, target, f"{checkpoint}/scored"), **trigger)]
-    if bad_target is not None:
-        queries.append(start(stream_to(bad, bad_target, f"{checkpoint}/bad"), **trigger))
-    return queries
+) -> StreamingQuery:
+    """Sensor lines → prediction messages; bad lines go to their own topic. One
+    query with one checkpoint feeds both."""
+    model = load_model(model_path)
+    outputs = both_outputs(
+        lambda batch: score_lines(batch, model), message_sink(target), message_sink(bad_target)
+    )
+    return for_each_batch(stream_messages(spark, source, reading), outputs, checkpoint, **trigger)
 
 
 def score_flowers_by_batch(
     spark: SparkSession,
     source: Topic,
     sink: BatchSink,
+    bad_sink: BatchSink,
     model_path: str,
     checkpoint: str,
     *,
-    bad_sink: BatchSink | None = None,
+    reading: Reading = Reading(),
     period_seconds: float | None = 1,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """The same with one callback per micro-batch, every second by default.
-    Both outputs come from one read of the source."""
+    """The same with one callback per micro-batch, every second by default."""
     return for_each_batch(
-        stream_messages(spark, source),
+        stream_messages(spark, source, reading),
         scoring_sink(load_model(model_path), sink, bad_sink),
         checkpoint,
         period_seconds=period_seconds,
@@ -119,8 +120,11 @@ def score_flowers_by_batch(
 
 
 def land_predictions(
-    spark: SparkSession, source: Topic, output: str, *, checkpoint: str | None = None, **trigger
+    spark: SparkSession, source: Topic, output: str, bad_messages: str, *,
+    checkpoint: str | None = None, reading: Reading = Reading(), **trigger,
 ) -> StreamingQuery:
-    """Prediction messages → Parquet by day."""
-    rows = predictions(stream_messages(spark, source))
-    return land(rows, output, fmt="parquet", checkpoint=checkpoint, **trigger)
+    """Prediction messages → Parquet by day; those without a time go to
+    `bad_messages`."""
+    messages = stream_messages(spark, source, reading)
+    return land(messages, predictions, output, bad_messages, fmt="parquet",
+                checkpoint=checkpoint, **trigger)

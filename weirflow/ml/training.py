@@ -15,8 +15,13 @@ from weirflow.operators.labels import label_metrics
 
 @dataclass(frozen=True)
 class Trained:
+    """`metrics` are those of the test part; `removed` counts the rows that a job
+    left out before training."""
+
     model: PipelineModel
     metrics: DataFrame
+    test: DataFrame
+    removed: int = 0
 
 
 def fit_label_index(df: DataFrame, label: str, index: str = "class") -> StringIndexerModel:
@@ -48,6 +53,14 @@ def split_rows(
     return df.filter(share), df.filter(~share)
 
 
+def bounded_sample(df: DataFrame, rows: int, key: Sequence[str]) -> DataFrame:
+    """About `rows` rows, chosen by a hash of the key over the whole table; all
+    rows of a smaller one."""
+    share = min(1.0, rows / max(1, df.count()))
+    place = F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 40))
+    return df.filter(place < F.lit(int(share * (1 << 40))))
+
+
 def train_text_classifier(
     df: DataFrame,
     *,
@@ -56,13 +69,17 @@ def train_text_classifier(
     predicted: str = "predictedSpecies",
     seed: int = 42,
     key: Sequence[str] | None = None,
+    most_rows: int | None = None,
 ) -> Trained:
     """Tree over a text label: index, assemble, tree, label text back.
 
     The label index covers all rows, so that a class missing from the training
-    part still has its number. Scoring rows need no label column.
+    part still has its number. Scoring rows need no label column. With `most_rows`
+    (and a key) the tree is fitted and tested on a sample of about that size.
     """
     indexer = fit_label_index(df, label)
+    if most_rows is not None:
+        df = bounded_sample(df, most_rows, key or [])
     tree = DecisionTreeClassifier(labelCol="class", featuresCol="features", seed=seed)
     stages = [indexer, assemble(features), tree, restore_labels(indexer, "prediction", predicted)]
     return _fit(df, Pipeline(stages=stages), "class", seed, key)
@@ -84,7 +101,8 @@ def train_classifier(
 def _fit(df: DataFrame, stages: Pipeline, label: str, seed: int, key) -> Trained:
     train, test = split_rows(df, seed=seed, key=key)
     model = stages.fit(train)
-    return Trained(model, label_metrics(model.transform(test), label=label, prediction="prediction"))
+    metrics = label_metrics(model.transform(test), label=label, prediction="prediction")
+    return Trained(model, metrics, test)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -2,45 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from weirflow.sources.files import STAGE_FOLDER, STAGE_PART, list_files, staged_files, staged_lines
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
+
+from weirflow.operators.ranking import number_rows
+from weirflow.sources.files import STAGE_FOLDER, STAGE_PART, staged_files, staged_lines
 from weirflow.sources.hadoop import absolute_name, filesystem, hadoop_path
-from weirflow.workspace import materialize, new_path
+from weirflow.workspace import intermediates, materialize
 
 TARGET_FILE_BYTES = 1 << 30
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
-def plan_folders(files: DataFrame, target_file_bytes: int) -> DataFrame:
-    """(folder, first_name, bytes, num_outputs, first_output): how many files
-    each folder becomes and which output numbers they get.
-
-    A folder up to the target size becomes one file. A larger one becomes
-    several, so that no task has to write a folder of any size alone.
-    """
-    folders = files.groupBy("folder").agg(
-        F.min("name").alias("first_name"), F.sum("length").alias("bytes")
-    ).withColumn("num_outputs", F.ceil(F.col("bytes") / F.lit(target_file_bytes)).cast("int"))
-    # One row per folder goes through this window, not one per file or line.
-    before = Window.orderBy("folder").rowsBetween(Window.unboundedPreceding, -1)
-    return folders.withColumn(
-        "first_output", F.coalesce(F.sum("num_outputs").over(before), F.lit(0)).cast("int")
+def plan_pieces(files: DataFrame, target_file_bytes: int) -> DataFrame:
+    """(folder, piece, pieces, bytes, output): the files every folder becomes,
+    numbered from 0 over all folders. A folder becomes one file per started
+    `target_file_bytes`; a folder of empty files becomes none."""
+    sizes = files.groupBy("folder").agg(F.sum("length").alias("bytes")).filter("bytes > 0")
+    pieces = F.ceil(F.col("bytes") / F.lit(target_file_bytes)).cast("int")
+    planned = sizes.withColumn("pieces", pieces).withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     )
+    numbered = number_rows(planned, [F.asc("folder"), F.asc("piece")], "output")
+    return numbered.withColumn("output", (F.col("output") - 1).cast("int"))
 
 
-def place_files(files: DataFrame, folders: DataFrame) -> DataFrame:
+def place_files(files: DataFrame) -> DataFrame:
     """Every file with the byte position its folder has reached before it."""
     by_name = Window.partitionBy("folder").orderBy("name").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    return (
-        files.withColumn("start", F.coalesce(F.sum("length").over(by_name), F.lit(0)))
-        .filter(F.col("length") > 0)
-        .join(folders, "folder")
-        .select(F.col("url").alias("path"), "folder", "name", "start", "num_outputs", "first_output")
+    start = F.coalesce(F.sum("length").over(by_name), F.lit(0))
+    return files.withColumn("start", start).filter(F.col("length") > 0).select(
+        F.col("url").alias("path"), "folder", "name", "start"
     )
 
 
+@contextmanager
+def _splits_below(spark: SparkSession, target_file_bytes: int) -> Iterator[None]:
+    """Read splits of at most half a target file, so that each piece of a folder
+    has one that begins in it."""
+    before = spark.conf.get(SPLIT_BYTES)
+    known = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(SPLIT_BYTES, str(max(1, min(known, target_file_bytes // 2))))
+    try:
+        yield
+    finally:
+        spark.conf.set(SPLIT_BYTES, before)
+
+
 def compact_folders(
     spark: SparkSession,
     source: str,
@@ -50,107 +62,88 @@ def compact_folders(
     delete_sources: bool = False,
     folder_pattern: str = STAGE_FOLDER,
     part_pattern: str = STAGE_PART,
-) -> None:
-    """Rewrite every matching folder of `source` below `target` as one file.
-
-    Part files are joined in name order, empty ones add nothing, and the result
-    takes the first part's name. Folders keep their names; a folder without a
-    matching file is skipped. A folder above `target_file_bytes` becomes
-    several files that sort in line order.
-
-    The parts are fixed when the call starts: later arrivals are neither
-    copied nor deleted. Sources are deleted on request only, after the written
-    lines have been counted against the read ones. Lines end in a newline; a
-    part that ends in one adds no empty line at the seam.
+) -> int:
+    """Rewrite every matching folder of `source` below `target`; returns the
+    number of lines written.
+
+    One rule holds at every size: a folder of b bytes becomes
+    ceil(b / `target_file_bytes`) files of about equal size, each holding the
+    splits of the source that begin in its share. Part files are joined in name
+    order; the new files are named by Spark and sort by name in line order (up to
+    100,000 files a run). The first part's name is not kept. Folders are named
+    `<column>=<value>` and keep their names; one without a matching file is left
+    out, one of empty files only ends up empty.
+
+    A folder is replaced as a whole when the job commits, so a second run leaves
+    nothing of the first behind, and folders it does not have stay as they are.
+
+    The parts are fixed when the call starts: later arrivals are neither copied
+    nor deleted. Sources are deleted on request only, after the lines found in the
+    new files have been counted against those read. Lines end in a newline; a part
+    that ends in one adds no empty line at the seam.
     """
     if absolute_name(spark, source) == absolute_name(spark, target):
         raise ValueError("source and target must differ")
-    files = materialize(
-        staged_files(spark, source, folder_pattern=folder_pattern, part_pattern=part_pattern),
-        "parts",
-    )
-    folders = materialize(plan_folders(files, target_file_bytes), "folders")
-    outputs = folders.agg(F.coalesce(F.sum("num_outputs"), F.lit(0))).first()[0]
-    if outputs:
-        staging = new_path(spark, "compacted")
-        _write_outputs(spark, source, staging, files, folders, outputs, part_pattern,
-                       target_file_bytes)
+    with intermediates(spark), _splits_below(spark, target_file_bytes):
+        files = materialize(
+            staged_files(spark, source, folder_pattern=folder_pattern, part_pattern=part_pattern),
+            "parts",
+        )
+        columns = [r[0] for r in
+                   files.select(F.substring_index("folder", "=", 1)).distinct().limit(2).collect()]
+        if not columns:
+            return 0
+        if len(columns) > 1 or "/" in columns[0]:
+            raise ValueError("folders of one level and one partition column are expected")
+        pieces = materialize(plan_pieces(files, target_file_bytes), "pieces")
+        _clear_empty(spark, target, files)
+        outputs = pieces.count()
+        lines = _write(spark, source, target, files, pieces, outputs, columns[0], part_pattern)
         if delete_sources:
-            _check_counts(spark, source, staging, files, part_pattern)
-        _publish(spark, staging, target, folders)
-    _publish_empty(spark, target, folders)
-    if delete_sources:
-        fs = filesystem(spark, source)
-        for row in files.select("path").toLocalIterator():
-            fs.delete(hadoop_path(spark, row["path"]), False)
-
-
-def _write_outputs(
-    spark, source, staging, files, folders, outputs, part_pattern, target_file_bytes
-) -> None:
-    # Splits of a file are at most spark.sql.files.maxPartitionBytes long, so a
-    # line's split start places it in an output accurately enough. Spark joins
-    # by broadcast when the file list is small and by shuffle when it is not.
+            if outputs:
+                _check_count(spark, target, pieces, lines)
+            fs = filesystem(spark, source)
+            for row in files.select("path").toLocalIterator():
+                fs.delete(hadoop_path(spark, row["path"]), False)
+        return lines
+
+
+def _write(spark, source, target, files, pieces, outputs, column, part_pattern) -> int:
+    if not outputs:
+        return 0
     lines = staged_lines(spark, source, part_pattern=part_pattern)
-    share = F.floor((F.col("start") + F.col("block")) / F.lit(target_file_bytes)).cast("int")
+    # Spark joins by broadcast while the lists are small and by shuffle when not.
+    placed = lines.join(place_files(files), "path").join(
+        pieces.filter("piece = 0").select("folder", "bytes", "pieces", F.col("output").alias("first")),
+        "folder",
+    )
+    share = F.floor((F.col("start") + F.col("block")) * F.col("pieces") / F.col("bytes"))
+    seen = Observation("compacted")
     (
-        lines.join(place_files(files, folders), "path")
-        .withColumn("output", F.col("first_output") + F.least(share, F.col("num_outputs") - 1))
+        placed.withColumn("output", (F.col("first") + share).cast("int"))
         .repartitionById(outputs, "output")
         .sortWithinPartitions("folder", "name", "block", "place")
-        .select("folder", "value")
-        .write.partitionBy("folder")
-        .text(staging)
+        .select("value", F.substring_index("folder", "=", -1).alias(column))
+        .observe(seen, F.count(F.lit(1)).alias("lines"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column).text(target)
     )
+    return seen.get["lines"] or 0
 
 
-def _check_counts(spark, source, staging, files, part_pattern) -> None:
-    read = staged_lines(spark, source, part_pattern=part_pattern).join(
-        files.select(F.col("url").alias("path")), "path", "left_semi"
-    ).count()
-    written = spark.read.option("lineSep", "\n").text(staging).count()
-    if read != written:
-        raise RuntimeError(f"{read} lines were read but {written} written; sources are kept")
+def _check_count(spark, target, pieces, lines) -> None:
+    folders = [f"{target}/{r['folder']}" for r in pieces.filter("piece = 0").toLocalIterator()]
+    written = spark.read.option("lineSep", "\n").text(folders).count()
+    if written != lines:
+        raise RuntimeError(f"{lines} lines were read but {written} written; sources are kept")
 
 
-def _publish(spark, staging, target, folders) -> None:
-    """Move the written files to their names below the target: metadata calls,
-    one per output file, streamed to the driver."""
-    number = F.regexp_extract("name", r"^part-(\d+)", 1).cast("int")
-    written = list_files(spark, staging).select("path", number.alias("output"))
-    numbers = F.sequence(
-        F.col("first_output"), F.col("first_output") + F.col("num_outputs") - 1
-    )
-    outputs = folders.filter("num_outputs > 0").withColumn("output", F.explode(numbers))
-    moves = written.join(outputs, "output").select(
-        "path",
-        "folder",
-        F.when(F.col("output") == F.col("first_output"), F.col("first_name")).otherwise(
-            # "_" sorts behind ".", so later pieces follow the first one by name.
-            F.regexp_replace(
-                "first_name",
-                F.lit(r"^(.*?)(\.[^.]*)?$"),
-                F.concat(
-                    F.lit("$1_"),
-                    F.lpad((F.col("output") - F.col("first_output")).cast("string"), 5, "0"),
-                    F.lit("$2"),
-                ),
-            )
-        ).alias("name"),
-    )
+def _clear_empty(spark, target, files) -> None:
+    """Folders of empty files have no rows to write; what an earlier run left of
+    them goes."""
+    empty = files.groupBy("folder").agg(F.sum("length").alias("bytes")).filter("bytes = 0")
     fs = filesystem(spark, target)
-    for row in moves.toLocalIterator():
+    for row in empty.select("folder").toLocalIterator():
         folder = hadoop_path(spark, f"{target}/{row['folder']}")
+        fs.delete(folder, True)
         fs.mkdirs(folder)
-        destination = hadoop_path(spark, f"{target}/{row['folder']}/{row['name']}")
-        fs.delete(destination, False)
-        if not fs.rename(hadoop_path(spark, row["path"]), destination):
-            raise RuntimeError(f"could not move {row['path']} to {destination.toString()}")
-
-
-def _publish_empty(spark, target, folders) -> None:
-    """A folder whose parts are all empty gets an empty file."""
-    fs = filesystem(spark, target)
-    for row in folders.filter("num_outputs = 0").toLocalIterator():
-        name = hadoop_path(spark, f"{target}/{row['folder']}/{row['first_name']}")
-        fs.create(name, True).close()

@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def pack_json_array(df: DataFrame) -> DataFrame:
-    """One row `value`: a JSON array of all rows, in row order.
-
-    For results of known small size only (a top-k); use `pack_json_arrays`
-    for tables.
-    """
-    return df.select(
-        F.monotonically_increasing_id().alias("pos"), F.struct("*").alias("item")
-    ).agg(_array_text())
+def rows_per_document(df: DataFrame, document_bytes: int = 64 << 20) -> int:
+    """Rows of which a document of about `document_bytes` can hold any, by the
+    widest row of the table (one pass)."""
+    width = F.max(F.octet_length(F.to_json(F.struct("*"))))
+    widest = df.agg(F.coalesce(width, F.lit(1)).alias("w")).first()[0]
+    return max(1, document_bytes // (widest + 1))
 
 
-def pack_json_arrays(df: DataFrame, rows_per_document: int = 100_000) -> DataFrame:
+def pack_json_arrays(df: DataFrame, rows_per_document: int) -> DataFrame:
     """Several rows `value`, each a JSON array of at most `rows_per_document`
     rows, so that no task ever holds more than that."""
     if rows_per_document < 1:

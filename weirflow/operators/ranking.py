@@ -47,7 +47,8 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_num") -
     A window over the whole table would run in one task. Here the rows are
     range-sorted in parallel and written once with (task, position in task);
     a row's number is its position plus the rows of the tasks before it. Only
-    one count per task goes through the small window below.
+    one count per task goes through the small window below. The written copy is
+    an intermediate table: see `intermediates` for when it goes.
     """
     mark = F.monotonically_increasing_id()
     fixed = materialize(
@@ -63,6 +64,6 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_num") -
     offsets = sizes.select(
         "_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
-    return fixed.join(F.broadcast(offsets), "_task").select(
+    return fixed.join(offsets, "_task").select(
         *df.columns, (F.col("_before") + F.col("_place") + 1).alias(name)
     )

@@ -218,17 +218,18 @@ def tail_task_sizes(spark, sf):
     )
 
 
+_LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
 @plans.query(
     "number_rows",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-        row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)
-        AS row_num
-    FROM lineitem""",
+    f"""SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate),
+        row_number() OVER (ORDER BY {', '.join(_LINE_ORDER)}) AS row_num FROM lineitem""",
 )
 def numbered(spark, sf):
-    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    rows = table(spark, sf, "lineitem").select(*columns)
-    return number_rows(rows, [F.asc(c) for c in columns])
+    rows = table(spark, sf, "lineitem")
+    rows = rows.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
+    return number_rows(rows, [F.asc(c) for c in _LINE_ORDER])
 
 
 @plans.query("limit_rows", "SELECT count(*) AS num_rows FROM (SELECT * FROM orders LIMIT 10) t")

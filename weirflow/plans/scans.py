@@ -8,6 +8,7 @@ from weirflow.functions.calendar import SECONDS_PATTERN, date_parts, parse_times
 from weirflow.functions.parsing import (
     parse_csv_messages, parse_json_messages, split_usable,
 )
+from weirflow.operators.documents import rows_per_document
 from weirflow.plans.registry import Registry, table
 from weirflow.schemas import COUNTRIES, struct_of
 from weirflow.sinks.files import save_by_partition, save_csv, save_json_array
@@ -43,15 +44,10 @@ EVENT_LAKE = struct_of(
 
 
 def event_lines(events):
-    """Events as delimited text, one line each, timestamps cut to seconds."""
-    return F.concat_ws(
-        ",",
-        F.date_format("ts", SECONDS_PATTERN),
-        F.col("event_id").cast("string"),
-        F.col("user_id").cast("string"),
-        F.col("event_type"),
-        F.col("value").cast("string"),
-    )
+    """Events as delimited text, one line each, timestamps cut to seconds. A
+    NULL is an empty field, and separators within a field are quoted."""
+    time = F.date_format("ts", SECONDS_PATTERN).alias("date")
+    return F.to_csv(F.struct(time, *[events[c] for c in SENSOR_LINE.fieldNames()[1:]]))
 
 
 _CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -129,9 +125,9 @@ def nested_json_topk(spark, sf):
         )
     )
     source, report = new_path(spark, "documents"), new_path(spark, "report")
-    save_json_array(documents, source, rows_per_document=50_000)
-    top = largest_countries(read_json_arrays(spark, source, COUNTRIES), region="AFRICA")
-    save_json_array(top, report)
+    save_json_array(documents, source, rows_per_document=rows_per_document(documents))
+    top = largest_countries(read_json_arrays(spark, source, COUNTRIES), region="AFRICA", k=10)
+    save_json_array(top, report, rows_per_document=10)
     answer = struct_of(name="string", capital="string", area="double")
     return read_json_arrays(spark, report, answer)
 
@@ -160,13 +156,14 @@ def parse_csv_col(spark, sf):
     events = table(spark, sf, "events")
     messages = events.select(event_lines(events).cast("binary").alias("value"))
     parts = ("year", "month", "day", "hour", "minute", "second")
-    return measurements(messages, SENSOR_LINE).withColumns({c: F.col(c).cast("long") for c in parts})
+    rows, _ = measurements(messages, SENSOR_LINE)
+    return rows.withColumns({c: F.col(c).cast("long") for c in parts})
 
 
 @plans.query(
     "to_json_rows",
     """SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey, o_custkey, o_orderstatus,
-        o_totalprice, o_orderpriority FROM orders""",
+        o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
 )
 def to_json_rows(spark, sf):
     """Orders packed to (key, JSON value) and, for the check, parsed back."""
@@ -175,9 +172,11 @@ def to_json_rows(spark, sf):
         o_custkey="long",
         o_orderstatus="string",
         o_totalprice="double",
+        o_orderdate="string",
         o_orderpriority="string",
     )
-    rows = table(spark, sf, "orders").select(*schema.fieldNames())
+    orders = table(spark, sf, "orders")
+    rows = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
     messages = as_messages(rows, key="o_orderkey")
     return parse_json_messages(messages, schema, keep=["key"]).drop("raw_message")
 
@@ -193,14 +192,11 @@ def bad_message_split(spark, sf):
     an unparsable time and number."""
     events = table(spark, sf, "events")
     broken = F.col("event_type") == "error"
-    line = F.concat_ws(
-        ",",
-        F.when(broken, F.lit("no time")).otherwise(F.date_format("ts", SECONDS_PATTERN)),
-        F.col("event_id").cast("string"),
-        F.col("user_id").cast("string"),
-        F.col("event_type"),
-        F.when(broken, F.lit("n/a")).otherwise(F.col("value").cast("string")),
-    )
+    line = F.to_csv(F.struct(
+        F.when(broken, F.lit("no time")).otherwise(F.date_format("ts", SECONDS_PATTERN)).alias("date"),
+        "event_id", "user_id", "event_type",
+        F.when(broken, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
+    ))
     rows = parse_csv_messages(events.select(line.alias("value")), SENSOR_LINE).withColumn(
         "timestamp", parse_timestamp("date", SECONDS_PATTERN)
     )

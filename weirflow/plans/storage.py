@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.operators.compaction import compact_folders
+from weirflow.operators.compaction import TARGET_FILE_BYTES, compact_folders
 from weirflow.operators.metrics import as_metric_rows, summary_metrics
 from weirflow.plans.popularity import METRIC_ROWS
 from weirflow.plans.registry import Registry, table
@@ -28,12 +28,17 @@ def _database(spark):
 
 @plans.query(
     "external_table",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
 )
 def external_table(spark, sf):
-    name = f"{_database(spark)}.orders"
-    external_parquet_table(spark, name, f"{sf.rstrip('/')}/orders.parquet")
-    return spark.table(name).drop("o_orderdate")
+    """A table over files that stay where they are. The result holds the files,
+    so the table and its database go at once."""
+    database = _database(spark)
+    external_parquet_table(spark, f"{database}.orders", f"{sf.rstrip('/')}/orders.parquet")
+    orders = spark.table(f"{database}.orders")
+    result = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
 
 
 @plans.query(
@@ -66,16 +71,19 @@ def parquet_overwrite(spark, sf):
     )
 
 
-def _stage_events(spark, sf):
-    """Event lines in date folders of small files, with strays among them."""
-    path = new_path(spark, "stage")
-    events = table(spark, sf, "events")
-    lines = events.select(
+def _dated_lines(spark, sf):
+    """(date, value, half): events as delimited lines."""
+    return table(spark, sf, "events").select(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.concat_ws(",", F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("props"))
-        .alias("value"),
+        F.to_csv(F.struct("event_id", "user_id", "event_type", "props")).alias("value"),
         (F.col("event_id") % 2).alias("half"),
     )
+
+
+def _stage_events(spark, sf):
+    """Event lines in date folders of small files, with strays among them."""
+    path = new_path(spark, "stage")
+    lines = _dated_lines(spark, sf)
     # Two rounds of arrivals leave at least two parts in most folders.
     for half in (0, 1):
         lines.filter(F.col("half") == half).drop("half").write.mode("append").partitionBy(
@@ -89,7 +97,9 @@ def _stage_events(spark, sf):
 
 
 _FINISHED = r"^part-\d{5}-.*\.txt$"
-_EVENT_LINE = "concat_ws(',', event_id, user_id, event_type, props)"
+# A field with quotes is quoted, and its quotes get a backslash.
+_EVENT_LINE = r"""coalesce(CAST(event_id AS VARCHAR), '') || ',' || coalesce(CAST(user_id AS VARCHAR), '')
+    || ',' || coalesce(event_type, '') || ',' || coalesce('"' || replace(props, '"', '\"') || '"', '')"""
 
 
 @plans.query(
@@ -105,10 +115,12 @@ def compact_partitions(spark, sf):
 
 @plans.query(
     "compact_file_counts",
-    "SELECT strftime(ts, '%Y-%m-%d') AS date, 1 AS num_files FROM events GROUP BY 1",
+    f"""SELECT strftime(ts, '%Y-%m-%d') AS date,
+        CAST(ceil(sum(strlen({_EVENT_LINE}) + 1) / {TARGET_FILE_BYTES}.0) AS INTEGER) AS num_files
+    FROM events GROUP BY 1""",
 )
 def compact_file_counts(spark, sf):
-    """Compacted folders hold one file each while below the target size."""
+    """A compacted folder holds one file for each started target size."""
     stage, target = _stage_events(spark, sf), new_path(spark, "ods")
     compact_folders(spark, stage, target, part_pattern=_FINISHED, delete_sources=True)
     return list_files(spark, target).groupBy(
@@ -120,15 +132,11 @@ def compact_file_counts(spark, sf):
     "file_inventory",
     f"""SELECT 'root/date=' || strftime(ts, '%Y-%m-%d') AS folder,
         CAST(sum(strlen({_EVENT_LINE}) + 1) AS BIGINT) AS num_bytes
-    FROM events GROUP BY 1""",
+    FROM events GROUP BY 1 UNION ALL SELECT 'empty', 0""",
 )
 def file_inventory(spark, sf):
     """Bytes per folder of a generated tree, from file listings alone."""
     top = new_path(spark, "tree")
-    events = table(spark, sf, "events")
-    events.select(
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.concat_ws(",", F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("props"))
-        .alias("value"),
-    ).write.partitionBy("date").text(f"{top}/root")
+    _dated_lines(spark, sf).drop("half").write.partitionBy("date").text(f"{top}/root")
+    spark.range(0).select(F.lit("").alias("value")).write.text(f"{top}/empty")
     return list_files(spark, top).groupBy("folder").agg(F.sum("length").alias("num_bytes"))

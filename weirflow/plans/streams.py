@@ -6,25 +6,30 @@ place by passing a `KafkaTopic` to the same functions.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import functions as F, types as T
 
 from weirflow.functions.calendar import SECONDS_PATTERN
-from weirflow.functions.parsing import json_value
+from weirflow.functions.parsing import json_value, parse_json_messages
 from weirflow.ml.training import load_model, save_model, train_text_classifier
 from weirflow.plans.registry import Registry, table
 from weirflow.plans.scans import EVENT_LAKE, SENSOR_LINE, event_lines
 from weirflow.schemas import DAY_PARTITIONS, struct_of
-from weirflow.sinks.messages import as_messages, publish, stream_to
-from weirflow.sources.messages import MessageFolder, read_messages, read_tail, stream_messages
-from weirflow.streaming.common import start
+from weirflow.sinks.messages import as_messages, publish
+from weirflow.sources.messages import (
+    MessageFolder, Reading, read_messages, read_tail, stream_messages,
+)
+from weirflow.streaming.common import run_until_stopped
 from weirflow.streaming.landing import land, measurements, predictions
-from weirflow.streaming.microbatch import batch_folder_sink, for_each_batch
-from weirflow.streaming.scoring import score_json_messages
+from weirflow.streaming.microbatch import batch_folder_sink, for_each_batch, message_sink
+from weirflow.streaming.scoring import score_json_messages, scoring_sink
 from weirflow.workspace import new_path
 
 plans = Registry()
 
 FILES_PER_BATCH = 5_000
+TAIL_PARTITIONS = 1_000
 _PARTS = ("hour", "minute", "second", "year", "month", "day")
 MEASURES = struct_of(
     l_quantity="double",
@@ -38,103 +43,142 @@ def _topic(spark, label) -> MessageFolder:
     return MessageFolder(new_path(spark, label))
 
 
-def _event_feed(spark, sf) -> MessageFolder:
-    """Events as sensor-like lines in a topic."""
-    topic = _topic(spark, "lines")
-    events = table(spark, sf, "events")
-    publish(
-        events.select(F.col("event_id").cast("string").alias("key"), event_lines(events).alias("value")),
-        topic,
-    )
+def _send(spark, label, lines) -> MessageFolder:
+    """Publish texts as messages; those of error events arrive broken."""
+    topic = _topic(spark, label)
+    broken = F.concat(F.lit("broken "), F.col("value"))
+    text = F.when(F.col("event_type") == "error", broken).otherwise(F.col("value"))
+    publish(lines.select(text.alias("value")), topic)
     return topic
 
 
 def _stream(spark, topic):
     # A backlog of any size is worked off in micro-batches of bounded size.
-    return stream_messages(spark, topic, max_per_trigger=FILES_PER_BATCH)
+    return stream_messages(spark, topic, Reading(max_per_trigger=FILES_PER_BATCH))
+
+
+_BROKEN = """CAST((SELECT count(*) FROM events WHERE event_type = 'error') AS BIGINT) AS num_bad
+    FROM events WHERE event_type IS DISTINCT FROM 'error'"""
+
+
+def _with_bad_count(spark, landed, bad):
+    """Landed rows beside the number of broken messages whose text was kept."""
+    kept = spark.read.parquet(bad).filter(F.col("raw_message").startswith("broken "))
+    return landed.crossJoin(kept.agg(F.count(F.lit(1)).alias("num_bad")))
 
 
 @plans.query(
     "stream_ingest_json",
-    """SELECT event_id, user_id, event_type, value, hour(ts) AS hour, minute(ts) AS minute,
-        second(ts) AS second, year(ts) AS year, month(ts) AS month, day(ts) AS day
-    FROM events""",
+    f"""SELECT event_id, user_id, event_type, value, hour(ts) AS hour, minute(ts) AS minute,
+        second(ts) AS second, year(ts) AS year, month(ts) AS month, day(ts) AS day, {_BROKEN}""",
 )
 def stream_ingest_json(spark, sf):
-    """CSV messages → JSON lake by day. The query runs twice on one checkpoint;
-    the second run finds nothing new and adds nothing."""
-    topic, lake = _event_feed(spark, sf), new_path(spark, "lake")
+    """CSV messages → JSON lake by day, broken ones aside with their text. The
+    query runs twice on one checkpoint; the second run adds nothing."""
+    events = table(spark, sf, "events")
+    topic = _send(spark, "lines", events.select("event_type", event_lines(events).alias("value")))
+    lake, bad = new_path(spark, "lake"), new_path(spark, "bad")
     for _ in range(2):
-        rows = measurements(_stream(spark, topic), SENSOR_LINE)
-        land(rows, lake, fmt="json", available_now=True).awaitTermination()
-    landed = spark.read.schema(T.StructType(EVENT_LAKE.fields + DAY_PARTITIONS.fields)).json(lake)
-    return landed.withColumns({c: F.col(c).cast("long") for c in _PARTS})
+        land(
+            _stream(spark, topic), lambda batch: measurements(batch, SENSOR_LINE), lake, bad,
+            fmt="json", available_now=True,
+        ).awaitTermination()
+    full = T.StructType(EVENT_LAKE.fields + DAY_PARTITIONS.fields)
+    landed = spark.read.schema(full).json(lake).select(*full.fieldNames())
+    return _with_bad_count(spark, landed.withColumns({c: F.col(c).cast("long") for c in _PARTS}), bad)
 
 
 @plans.query(
     "stream_land_parquet",
-    """SELECT event_id, k, year(ts) AS year, month(ts) AS month, day(ts) AS day,
-        CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS second_of_day
-    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e""",
+    f"""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, year(ts) AS year,
+        month(ts) AS month, day(ts) AS day,
+        CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS second_of_day, {_BROKEN}""",
 )
 def stream_land_parquet(spark, sf):
-    """JSON messages → Parquet by day."""
-    topic, output = _topic(spark, "predictions"), new_path(spark, "landed")
+    """JSON messages → Parquet by day, broken ones aside with their text."""
+    output, bad = new_path(spark, "landed"), new_path(spark, "bad")
     schema = struct_of(Timestamp="string", event_id="long", k="int")
-    events = table(spark, sf, "events").select(
+    value = json_value([
         F.date_format("ts", SECONDS_PATTERN).alias("Timestamp"),
         "event_id",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-    publish(as_messages(events), topic)
-    rows = predictions(_stream(spark, topic), schema)
-    land(rows, output, fmt="parquet", available_now=True).awaitTermination()
+    ])
+    topic = _send(spark, "predictions", table(spark, sf, "events").select("event_type", value))
+    land(
+        _stream(spark, topic), lambda batch: predictions(batch, schema), output, bad,
+        fmt="parquet", available_now=True,
+    ).awaitTermination()
     landed = spark.read.parquet(output)
     clock = F.hour("Timestamp") * 3600 + F.minute("Timestamp") * 60 + F.second("Timestamp")
-    return landed.select(
+    return _with_bad_count(spark, landed.select(
         "event_id",
         "k",
         *[F.col(c).cast("long").alias(c) for c in ("year", "month", "day")],
         clock.cast("long").alias("second_of_day"),
+    ), bad)
+
+
+EVENT_TEXT = struct_of(
+    event_id="long", user_id="long", event_type="string", ts="string", value="double",
+    props="string",
+)
+
+
+def paced_batches(spark, sf, output):
+    """All events through a stream with a period trigger, a third of the feed's
+    files per micro-batch, stopped once everything has arrived."""
+    topic = _topic(spark, "paced")
+    files = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("string"))
+    publish(as_messages(events.repartition(files, "event_id")), topic)
+    messages = stream_messages(spark, topic, Reading(max_per_trigger=-(-files // 3)))
+    query = for_each_batch(
+        parse_json_messages(messages, EVENT_TEXT).select(*EVENT_TEXT.fieldNames()),
+        batch_folder_sink(output),
+        new_path(spark, "checkpoint"),
+        period_seconds=0.2,
     )
 
+    def stop_when_done():
+        query.processAllAvailable()
+        query.stop()
+
+    threading.Thread(target=stop_when_done, daemon=True).start()
+    run_until_stopped(query)
+
 
 @plans.query(
-    "stream_foreach_batch", "SELECT event_id, user_id, event_type, value FROM events"
+    "stream_foreach_batch",
+    """SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts, value, props FROM events""",
 )
 def stream_foreach_batch(spark, sf):
-    """Micro-batches of a paced stream, each written under its batch id."""
-    topic, output = _event_feed(spark, sf), new_path(spark, "batches")
-    rows = measurements(_stream(spark, topic), SENSOR_LINE)
-    for_each_batch(
-        rows.select("event_id", "user_id", "event_type", "value"),
-        batch_folder_sink(output),
-        new_path(spark, "checkpoint"),
-        available_now=True,
-    ).awaitTermination()
+    """Micro-batches of a paced stream, each written under its own name."""
+    output = new_path(spark, "batches")
+    paced_batches(spark, sf, output)
     return spark.read.parquet(output).drop("batch_id")
 
 
 @plans.query(
     "message_tail",
-    """SELECT user_id, event_id FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) t
+    """SELECT user_id % 1000 AS partition, event_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id % 1000 ORDER BY event_id DESC) AS n
+        FROM events) t
     WHERE n <= 5""",
 )
 def message_tail(spark, sf):
-    """The last five messages of every topic partition (one per user)."""
+    """The last five messages of every topic partition, to which users are dealt."""
     topic = _topic(spark, "tail")
     publish(
         table(spark, sf, "events").select(
             F.col("event_id").cast("string").alias("value"),
             F.lit("events").alias("topic"),
-            F.col("user_id").cast("int").alias("partition"),
+            F.pmod("user_id", F.lit(TAIL_PARTITIONS)).cast("int").alias("partition"),
             F.col("event_id").alias("offset"),
         ),
         topic,
     )
     return read_tail(spark, topic, 5).select(
-        F.col("partition").cast("long").alias("user_id"),
+        F.col("partition").cast("long").alias("partition"),
         F.col("value").cast("string").cast("long").alias("event_id"),
     )
 
@@ -171,13 +215,12 @@ def stream_score(spark, sf):
     messages = items.select(F.expr(_USABLE).alias("usable"), json_value(MEASURES.fieldNames()))
     publish(messages.select(text.alias("value")), topic)
     arguments = {"measures": MEASURES, "predicted": "predicted", "output": "predicted_flag"}
-    scored, bad = score_json_messages(_stream(spark, topic), model, **arguments)
-    queries = [
-        start(stream_to(scored, scored_topic, new_path(spark, "checkpoint")), available_now=True),
-        start(stream_to(bad, bad_topic, new_path(spark, "checkpoint")), available_now=True),
-    ]
-    for query in queries:
-        query.awaitTermination()
+    for_each_batch(
+        _stream(spark, topic),
+        scoring_sink(model, message_sink(scored_topic), message_sink(bad_topic), **arguments),
+        new_path(spark, "checkpoint"),
+        available_now=True,
+    ).awaitTermination()
 
     batch, _ = score_json_messages(read_messages(spark, topic), model, **arguments)
     stored = read_messages(spark, scored_topic)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from weirflow.operators.documents import pack_json_array, pack_json_arrays
+from weirflow.operators.documents import pack_json_arrays
 
 
 def save_parquet(
@@ -35,16 +35,10 @@ def save_by_partition(
 
 
 def save_json_array(
-    df: DataFrame, path: str, *, mode: str = "overwrite", rows_per_document: int | None = None
+    df: DataFrame, path: str, *, rows_per_document: int, mode: str = "overwrite"
 ) -> None:
-    """Write JSON array documents, one per file.
-
-    Without `rows_per_document` there is exactly one document, in row order;
-    that form is for results of known small size. With it, every document
-    holds at most that many rows.
-    """
-    if rows_per_document is None:
-        pack_json_array(df).write.mode(mode).text(path)
-    else:
-        documents = pack_json_arrays(df, rows_per_document)
-        documents.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+    """Write JSON array documents, one per file, each of at most
+    `rows_per_document` rows. A table of up to that many rows in one partition,
+    such as a top-k, becomes one document; see `rows_per_document` for wide rows."""
+    documents = pack_json_arrays(df, rows_per_document)
+    documents.write.mode(mode).option("maxRecordsPerFile", 1).text(path)

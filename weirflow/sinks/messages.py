@@ -21,8 +21,13 @@ def as_messages(
     return df.select(key.cast("string").alias("key"), value)
 
 
-def publish(messages: DataFrame, topic: Topic) -> None:
-    """Write a bounded table of messages; acknowledged by all replicas on Kafka."""
+def publish(messages: DataFrame, topic: Topic, *, batch: str | None = None) -> None:
+    """Write a bounded table of messages; acknowledged by all replicas on Kafka.
+
+    In a folder, messages of a named `batch` replace those of an earlier attempt
+    at it. Kafka has no such names: a batch that runs again is sent again, so
+    receivers should know messages by key or content.
+    """
     if isinstance(topic, KafkaTopic):
         (
             messages.write.format("kafka")
@@ -30,21 +35,10 @@ def publish(messages: DataFrame, topic: Topic) -> None:
             .option("topic", topic.topic)
             .save()
         )
-    else:
+    elif batch is None:
         _stored(messages).write.mode("append").parquet(topic.path)
-
-
-def stream_to(messages: DataFrame, topic: Topic, checkpoint: str):
-    """A stream writer that appends messages to the topic."""
-    if isinstance(topic, KafkaTopic):
-        writer = (
-            messages.writeStream.format("kafka")
-            .options(**topic.settings())
-            .option("topic", topic.topic)
-        )
     else:
-        writer = _stored(messages).writeStream.format("parquet").option("path", topic.path)
-    return writer.outputMode("append").option("checkpointLocation", checkpoint)
+        _stored(messages).write.mode("overwrite").parquet(f"{topic.path}/{batch}")
 
 
 def _stored(messages: DataFrame) -> DataFrame:

@@ -6,12 +6,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from weirflow.operators.ranking import number_rows
 from weirflow.schemas import DAY_PARTITIONS
 from weirflow.sources.hadoop import absolute_name, indexed_files
-from weirflow.workspace import materialize
 
 PathArg = str | Sequence[str]
 
@@ -43,10 +41,6 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_json_lines(spark: SparkSession, path: PathArg, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
 def read_json_arrays(
     spark: SparkSession, path: PathArg, schema: T.StructType, *, mode: str = "FAILFAST"
 ) -> DataFrame:
@@ -62,8 +56,8 @@ def read_day(spark: SparkSession, root: str, schema: T.StructType, day: str) ->
     """One day of a JSON lake laid out as year=/month=/day= folders.
 
     The scan goes through the lake's root: year, month and day come back as
-    columns, other days are pruned by partition, and files a streaming writer
-    has not committed stay invisible.
+    columns, other days are pruned by partition. Folders below a day, such as
+    those of micro-batches, are read with it.
     """
     wanted = date.fromisoformat(day)
     full = T.StructType(schema.fields + DAY_PARTITIONS.fields)
@@ -71,7 +65,7 @@ def read_day(spark: SparkSession, root: str, schema: T.StructType, day: str) ->
         (F.col("year") == wanted.year)
         & (F.col("month") == wanted.month)
         & (F.col("day") == wanted.day)
-    )
+    ).select(*full.fieldNames())
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -160,11 +154,22 @@ def read_lines_numbered(
     spark: SparkSession, path: str, *, header: bool = True, part_pattern: str = ".*"
 ) -> DataFrame:
     """(key, value): the lines of text files in file order, header lines
-    dropped, with the running number from 1 as key text."""
+    dropped, with the running number from 1 as key text.
+
+    The lines of a split are in order already. They are counted per split, the
+    counts summed up over the splits in file order (one row per split), and a
+    line's number is that sum plus its place in the split. Lines are neither
+    sorted nor stored.
+    """
     lines = staged_lines(spark, path, part_pattern=part_pattern)
-    if header:
-        lines = materialize(lines, "lines")
-        heads = lines.filter(F.col("block") == 0).groupBy("path").agg(F.min("place").alias("place"))
-        lines = lines.join(heads, ["path", "place"], "left_anti")
-    order = [F.col("path"), F.col("block"), F.col("place")]
-    return number_rows(lines, order, "key").select(F.col("key").cast("string"), "value")
+    heads = F.when(F.col("block") == 0, F.lit(int(header))).otherwise(0)
+    splits = lines.groupBy("path", "block").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("lines")
+    ).withColumn("skip", heads)
+    earlier = Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("lines") - F.col("skip")).over(earlier), F.lit(0))
+    numbered = lines.join(splits.withColumn("before", before), ["path", "block"])
+    place = F.col("place") - F.col("first") - F.col("skip")
+    return numbered.filter(place >= 0).select(
+        (F.col("before") + place + 1).cast("string").alias("key"), "value"
+    )

@@ -3,7 +3,6 @@ renaming and deleting. They touch names only, never file contents."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -24,13 +23,15 @@ def absolute_name(spark: SparkSession, path: str) -> str:
 def indexed_files(scan: DataFrame) -> DataFrame:
     """(url): the files in the index of a file scan, empty ones included.
 
-    The driver holds this index for every file scan; only names pass here,
-    fetched as one text because urls contain no line break.
+    The driver's JVM holds this index for every file scan. The names become an
+    array literal there, without passing through Python, and are dealt out to
+    the tasks that read them.
     """
     spark = scan.sparkSession
-    names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
-    urls = pd.DataFrame({"url": names.split("\n") if names else []}, dtype="str")
+    functions = spark._jvm.org.apache.spark.sql.functions
+    names = functions.explode(functions.lit(scan._jdf.inputFiles()))
+    listed = DataFrame(spark.range(1)._jdf.withColumn("value", names), spark).select("value")
     # Scans write an empty host as scheme:/path, the index as scheme:///path.
-    return spark.createDataFrame(urls, "url string").select(
-        F.regexp_replace("url", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("url")
+    return listed.repartition(spark.sparkContext.defaultParallelism).select(
+        F.regexp_replace("value", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("url")
     )

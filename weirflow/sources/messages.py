@@ -30,36 +30,42 @@ class MessageFolder:
 Topic = KafkaTopic | MessageFolder
 
 
-def stream_messages(
-    spark: SparkSession,
-    topic: Topic,
-    *,
-    starting_offsets: str = "latest",
-    fail_on_data_loss: bool = False,
-    max_per_trigger: int | None = None,
-) -> DataFrame:
-    """Unbounded message table.
-
-    `max_per_trigger` paces the stream: offsets per micro-batch for Kafka,
-    files per micro-batch for a folder. A folder is read from its oldest file.
+@dataclass(frozen=True)
+class Reading:
+    """Where a stream starts, what lost data does, and how it is paced.
+
+    `starting_offsets` counts at a query's first start only ("latest" leaves the
+    backlog out, "earliest" takes it). Data that is gone before it was read ends
+    the query, unless `fail_on_data_loss` is false. `max_per_trigger` bounds a
+    micro-batch: offsets for Kafka, files for a folder, which is read from its
+    oldest file.
     """
+
+    starting_offsets: str = "latest"
+    fail_on_data_loss: bool = True
+    max_per_trigger: int | None = None
+
+
+def stream_messages(spark: SparkSession, topic: Topic, reading: Reading = Reading()) -> DataFrame:
+    """Unbounded message table."""
     if isinstance(topic, KafkaTopic):
         reader = (
             spark.readStream.format("kafka")
             .options(**topic.settings())
             .option("subscribe", topic.topic)
-            .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", str(fail_on_data_loss).lower())
+            .option("startingOffsets", reading.starting_offsets)
+            .option("failOnDataLoss", str(reading.fail_on_data_loss).lower())
         )
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        if reading.max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", reading.max_per_trigger)
         return reader.load()
     reader = (
         spark.readStream.schema(MESSAGES)
-        .option("ignoreMissingFiles", str(not fail_on_data_loss).lower())
+        .option("recursiveFileLookup", True)
+        .option("ignoreMissingFiles", str(not reading.fail_on_data_loss).lower())
     )
-    if max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    if reading.max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", reading.max_per_trigger)
     return reader.parquet(topic.path)
 
 
@@ -77,7 +83,7 @@ def read_messages(
             .option("endingOffsets", ending_offsets)
             .load()
         )
-    return spark.read.schema(MESSAGES).parquet(topic.path)
+    return spark.read.schema(MESSAGES).option("recursiveFileLookup", True).parquet(topic.path)
 
 
 def tail_offsets(end_offsets: str, n: int) -> str:

@@ -11,7 +11,7 @@ from weirflow.functions.calendar import with_calendar
 from weirflow.functions.parsing import RAW, json_value, parse_json_messages, split_usable
 from weirflow.schemas import IRIS_MEASURES, OCCUPANCY_LINE
 from weirflow.streaming.landing import timed_lines
-from weirflow.streaming.microbatch import BatchSink
+from weirflow.streaming.microbatch import BatchSink, both_outputs
 
 # Columns the occupancy model is trained on. Seconds are left out.
 OCCUPANCY_FEATURES = (
@@ -50,24 +50,21 @@ def _score_parsed(parsed, model, measures, predicted, output) -> tuple[DataFrame
 def scoring_sink(
     model: PipelineModel,
     sink: BatchSink,
-    bad_sink: BatchSink | None = None,
+    bad_sink: BatchSink,
     *,
     measures: T.StructType = IRIS_MEASURES,
     predicted: str = "predictedSpecies",
     output: str = "predicted_species",
 ) -> BatchSink:
-    """Scores a micro-batch of raw messages and hands both outputs on; with two
-    sinks the batch is read and parsed once for both."""
+    """Scores a micro-batch of raw JSON messages and hands both outputs on."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json_messages(batch, measures)
-        if bad_sink is not None:
-            parsed.persist()
+        parsed = parse_json_messages(batch, measures).persist()
         try:
-            scored, bad = _score_parsed(parsed, model, measures, predicted, output)
-            sink(scored, batch_id)
-            if bad_sink is not None:
-                bad_sink(bad, batch_id)
+            both = both_outputs(
+                lambda rows: _score_parsed(rows, model, measures, predicted, output), sink, bad_sink
+            )
+            both(parsed, batch_id)
         finally:
             parsed.unpersist()
 
