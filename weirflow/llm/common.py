@@ -46,7 +46,7 @@ def map_rows(
 ) -> DataFrame:
     """Add a struct `result` to a table of `row` structs. The function gets
     Arrow batches and yields (rows, results) of equal lengths."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("result", result)])
+    schema = T.StructType([rows.schema["row"], T.StructField("result", result)])
 
     def run(batches):
         for row, value in function(batches):

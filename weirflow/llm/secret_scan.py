@@ -108,83 +108,122 @@ def most_weight(kind: str) -> int:
     return math.floor(WINDOW * (math.log2(WINDOW) - THRESHOLDS[kind]) * _SCALE)
 
 
+def _let(value: Column, then) -> Column:
+    """`then(value)` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _changed(counts: Column, at: Column, by: int) -> Column:
-    new = F.element_at(counts, at) + by
     return F.concat(
-        F.slice(counts, F.lit(1), at - 1), F.array(new),
+        F.slice(counts, F.lit(1), at - 1), F.array(F.element_at(counts, at) + by),
         F.slice(counts, at + 1, F.lit(_SYMBOLS) - at),
     )
 
 
+def _between(x: Column, first: str, last: str) -> Column:
+    return x.between(ord(first) - _FIRST + 1, ord(last) - _FIRST + 1)
+
+
+def _is_digit(x: Column) -> Column:
+    return _between(x, "0", "9")
+
+
+def _is_plain(x: Column) -> Column:
+    return _is_digit(x) | _between(x, "a", "z")
+
+
+def _is_hex(x: Column) -> Column:
+    return _is_digit(x) | _between(x, "a", "f") | _between(x, "A", "F")
+
+
+def _moves(candidate: Column) -> Column:
+    """Per character (enters, leaves, end): its code, that of the character the
+    window loses (null while it fills), and the window's end."""
+    def shifted(codes: Column) -> Column:
+        size = F.size(codes)
+        lost = F.concat(
+            F.array_repeat(F.lit(None).cast("int"), F.least(size, F.lit(WINDOW))),
+            F.slice(codes, F.lit(1), F.greatest(size - WINDOW, F.lit(0))),
+        )
+        both = F.zip_with(
+            codes, lost, lambda c, l: F.struct(c.alias("enters"), l.alias("leaves"))
+        )
+        return F.transform(both, lambda x, i: F.struct(
+            x["enters"].alias("enters"), x["leaves"].alias("leaves"), (i + 1).alias("end")
+        ))
+
+    return _let(
+        F.transform(F.split(candidate, ""), lambda c: F.ascii(c) - F.lit(_FIRST - 1)), shifted
+    )
+
+
 def entropy_spans(candidate: Column) -> Column:
     """Spans of the windows of a candidate that count, those of one class
     joined where they overlap."""
-    codes = F.transform(F.split(candidate, ""), lambda c: F.ascii(c) - F.lit(_FIRST - 1))
     weights = _weights()
+    one, zero = F.lit(1), F.lit(0)
 
-    def digit(x):
-        return x.between(ord("0") - _FIRST + 1, ord("9") - _FIRST + 1)
-
-    def lower(x, last="z"):
-        return x.between(ord("a") - _FIRST + 1, ord(last) - _FIRST + 1)
+    def weight_of(count: Column) -> Column:
+        return F.element_at(weights, count + 1)
 
-    def hexadecimal(x):
-        upper = x.between(ord("A") - _FIRST + 1, ord("F") - _FIRST + 1)
-        return digit(x) | lower(x, "f") | upper
+    def entered(state: Column, x: Column) -> Column:
+        before = F.element_at(state["counts"], x["enters"])
+        return F.struct(
+            _changed(state["counts"], x["enters"], 1).alias("counts"),
+            (state["weight"] + weight_of(before + 1) - weight_of(before)).alias("weight"),
+        )
 
-    def step(state: Column, i: Column) -> Column:
-        enters = F.element_at(codes, i + 1)
-        leaves = F.element_at(codes, F.greatest(i + 1 - WINDOW, F.lit(1)))
-        full = i >= WINDOW
-        there = F.element_at(state["counts"], enters)
-        counts = _changed(state["counts"], enters, 1)
-        weight = state["weight"] + F.element_at(weights, there + 2) - F.element_at(weights, there + 1)
-        gone = F.element_at(counts, leaves)
-        one = F.lit(1)
+    def moved(state: Column, x: Column, now: Column) -> Column:
+        full = x["leaves"].isNotNull()
+        gone = F.element_at(now["counts"], F.coalesce(x["leaves"], one))
 
         def number(name: str, test) -> Column:
-            minus = F.when(full & test(leaves), one).otherwise(0)
-            return (state[name] + F.when(test(enters), one).otherwise(0) - minus).alias(name)
+            plus = F.when(test(x["enters"]), one).otherwise(zero)
+            minus = F.when(full & test(x["leaves"]), one).otherwise(zero)
+            return (state[name] + plus - minus).alias(name)
 
         return F.struct(
-            F.when(full, _changed(counts, leaves, -1)).otherwise(counts).alias("counts"),
-            F.when(
-                full, weight + F.element_at(weights, F.greatest(gone, one))
-                - F.element_at(weights, gone + 1),
-            ).otherwise(weight).alias("weight"),
-            number("digits", digit), number("plain", lambda x: digit(x) | lower(x)),
-            number("hex", hexadecimal), state["spans"].alias("spans"),
+            F.when(full, _changed(now["counts"], F.coalesce(x["leaves"], one), -1))
+            .otherwise(now["counts"]).alias("counts"),
+            F.when(full, now["weight"] + weight_of(F.greatest(gone - 1, zero)) - weight_of(gone))
+            .otherwise(now["weight"]).alias("weight"),
+            number("digits", _is_digit), number("plain", _is_plain), number("hex", _is_hex),
         )
 
-    def judged(state: Column, i: Column) -> Column:
-        new = step(state, i)
+    def judged(state: Column, x: Column, new: Column) -> Column:
         kind = F.when(new["hex"] == WINDOW, F.lit(3)).when(new["plain"] == WINDOW, F.lit(4)).otherwise(5)
-        most = F.when(kind == 3, F.lit(most_weight("entropy_hex"))).when(
-            kind == 4, F.lit(most_weight("entropy_alnum"))
+        most = F.when(new["hex"] == WINDOW, F.lit(most_weight("entropy_hex"))).when(
+            new["plain"] == WINDOW, F.lit(most_weight("entropy_alnum"))
         ).otherwise(F.lit(most_weight("entropy_base64")))
         counts = (
-            (i >= WINDOW - 1) & (new["weight"] <= most)
+            (x["end"] >= WINDOW) & (new["weight"] <= most)
             & (new["digits"] >= LEAST_DIGITS) & (new["digits"] < WINDOW)
         )
-        start, end = i + 1 - WINDOW, i + 1
-        last = F.element_at(state["spans"], -1)
-        joins = (F.size(state["spans"]) > 0) & (last["kind"] == kind) & (last["end"] >= start)
-        spans = F.when(
-            counts & F.coalesce(joins, F.lit(False)),
-            F.concat(
-                F.slice(state["spans"], F.lit(1), F.greatest(F.size(state["spans"]) - 1, F.lit(0))),
-                F.array(_span(last["start"], kind, end)),
-            ),
-        ).when(counts, F.array_append(state["spans"], _span(start, kind, end))).otherwise(state["spans"])
-        return new.withField("spans", spans)
+        start, spans = x["end"] - WINDOW, state["spans"]
+        last = F.try_element_at(spans, F.lit(-1))
+        joins = F.coalesce((last["kind"] == kind) & (last["end"] >= start), F.lit(False))
+        longer = F.concat(
+            F.slice(spans, one, F.greatest(F.size(spans) - 1, zero)),
+            F.array(_span(last["start"], kind, x["end"])),
+        )
+        return F.struct(
+            new["counts"].alias("counts"), new["weight"].alias("weight"),
+            new["digits"].alias("digits"), new["plain"].alias("plain"), new["hex"].alias("hex"),
+            F.when(counts & joins, longer)
+            .when(counts, F.array_append(spans, _span(start, kind, x["end"])))
+            .otherwise(spans).alias("spans"),
+        )
+
+    def step(state: Column, x: Column) -> Column:
+        return _let(entered(state, x), lambda now: _let(
+            moved(state, x, now), lambda new: judged(state, x, new)
+        ))
 
     first = F.struct(
-        F.array_repeat(F.lit(0), _SYMBOLS).alias("counts"), F.lit(0).cast("long").alias("weight"),
-        F.lit(0).alias("digits"), F.lit(0).alias("plain"), F.lit(0).alias("hex"),
-        F.array().cast(f"array<{SPAN}>").alias("spans"),
+        F.array_repeat(zero, _SYMBOLS).alias("counts"), F.lit(0).cast("long").alias("weight"),
+        zero.alias("digits"), zero.alias("plain"), zero.alias("hex"), _no_spans().alias("spans"),
     )
-    places = F.sequence(F.lit(0), F.length(candidate) - 1)
-    return F.aggregate(places, first, judged, lambda s: s["spans"])
+    return F.aggregate(_moves(candidate), first, step, lambda s: s["spans"])
 
 
 def candidate_spans(text: Column) -> Column:
