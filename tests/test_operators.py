@@ -5,10 +5,11 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from conftest import tuples
-from weirflow.operators.documents import pack_json_array, pack_json_arrays
+from weirflow.operators.documents import pack_json_arrays, rows_per_document
 from weirflow.operators.labels import class_balance, label_metrics
 from weirflow.operators.metrics import as_metric_rows, null_profile, summary_metrics
 from weirflow.operators.ranking import first_and_last, number_rows, tail_per_partition, top_k
+from weirflow.sinks.files import save_json_array
 
 
 def test_metrics_sample_and_population(spark):
@@ -54,14 +55,16 @@ def test_number_rows_is_global_and_gapless(spark):
     assert number_rows(df.limit(0), [F.asc("v")]).count() == 0
 
 
-def test_json_documents_keep_rows_and_bound(spark):
+def test_json_documents_keep_rows_and_bound(spark, tmp_path):
     df = spark.range(0, 1003, 1, 3)
-    whole = json.loads(pack_json_array(df).first()["value"])
-    assert [o["id"] for o in whole] == list(range(1003))
+    (whole,) = pack_json_arrays(df.coalesce(1), 1003).collect()
+    assert [o["id"] for o in json.loads(whole["value"])] == list(range(1003))
+    assert rows_per_document(df, 130) == 10 and rows_per_document(df.limit(0), 130) > 1
     parts = [json.loads(r["value"]) for r in pack_json_arrays(df, 100).collect()]
     assert max(map(len, parts)) <= 100
     assert sorted(o["id"] for p in parts for o in p) == list(range(1003))
-    assert pack_json_array(df.limit(0)).first()["value"] == "[]"
+    save_json_array(df.limit(0), str(tmp_path / "none"), rows_per_document=10)
+    assert [r[0] for r in spark.read.text(str(tmp_path / "none")).collect()] == ["[]"]
 
 
 def test_label_metrics_equal_the_evaluator(spark):
@@ -93,3 +96,10 @@ def test_class_balance(spark):
     assert sorted(tuples(class_balance(df, label="species", index="class"))) == [
         (0.0, "x", 2), (1.0, "y", 1),
     ]
+
+
+def test_preview_prints_rows_whole(spark, capfd):
+    from weirflow.sinks.console import preview
+
+    preview(spark.createDataFrame([("x" * 40, 1)], "a string, b int"))
+    assert "x" * 40 in capfd.readouterr().out

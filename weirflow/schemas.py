@@ -40,7 +40,6 @@ TAXI_FACTS = _struct(
 TAXI_ZONES = _struct(
     ("LocationID", _int), ("Borough", _text), ("Zone", _text), ("service_zone", _text)
 )
-DATAMART = _struct(("id", _int), ("metric", _text), ("value", _double))
 USERS = _struct(("user_id", _long), ("user_name", _text))
 
 IRIS_MEASURES = _struct(

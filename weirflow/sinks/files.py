@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from weirflow.operators.documents import pack_json_arrays
 
@@ -39,6 +39,10 @@ def save_json_array(
 ) -> None:
     """Write JSON array documents, one per file, each of at most
     `rows_per_document` rows. A table of up to that many rows in one partition,
-    such as a top-k, becomes one document; see `rows_per_document` for wide rows."""
-    documents = pack_json_arrays(df, rows_per_document)
+    such as a top-k, becomes one document; an empty table becomes one empty array.
+    See `operators.documents.rows_per_document` for wide rows."""
+    seen = Observation("documents")
+    documents = pack_json_arrays(df, rows_per_document).observe(seen, F.count(F.lit(1)).alias("n"))
     documents.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+    if not seen.get["n"]:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode("append").text(path)
