@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.plans.registry import Query, Registry
 from weirflow.session import ship_package
@@ -88,5 +88,11 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def sha256_of(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+def hash_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Up to `rows` rows (about so many of a larger table), chosen by a hash of
+    the keys over the whole table. The threshold follows from the table's size,
+    so each task passes on only its part of the sample."""
+    share = min(1.0, rows / max(1, df.count()))
+    place = F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(1 << 40))
+    chosen = df.filter(place < F.lit(int(share * (1 << 40))))
+    return chosen.orderBy(place, *keys).limit(rows)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weirflow.llm.common import as_rows, map_rows, query, texts_of
+from weirflow.llm.common import as_rows, hash_sample, map_rows, query, texts_of
 from weirflow.llm.dom import Page, node_features, parse
 from weirflow.plans.registry import table
 
@@ -348,14 +348,13 @@ def main_text(page: Page, odds: np.ndarray) -> tuple[str, int]:
 
 
 def fit_extractor(
-    pages: DataFrame, *, source: str = "html", training_pages: int = TRAINING_PAGES
+    pages: DataFrame, *, source: str = "html", key: str = "page_id",
+    training_pages: int = TRAINING_PAGES,
 ) -> BoostedTrees:
-    """Learn from up to `training_pages` pages, chosen by a hash of their source
-    over the whole table. If none of them marks an article, everything is kept."""
-    chosen = (
-        pages.select(pages[source].alias("html")).filter("html is not null")
-        .orderBy(F.xxhash64("html"), F.length("html")).limit(training_pages)
-    )
+    """Learn from up to `training_pages` pages, chosen by a hash of the key over
+    the whole table. If none of them marks an article, everything is kept."""
+    known = pages.select(pages[key].alias("key"), pages[source].alias("html")).filter("html is not null")
+    chosen = hash_sample(known, training_pages, "key").select("html")
     rows, labels = training_nodes(list(dict.fromkeys(r["html"] for r in chosen.collect())))
     return fit_trees(rows, labels)
 

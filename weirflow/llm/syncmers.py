@@ -28,14 +28,14 @@ S = 5
 SKETCH = 256
 HASH_BITS = 32
 CHUNK_CHARS = 400_000
-ROWS_PER_PARTITION = 20_000
+ROWS_PER_PARTITION = 4_000
 NO_ID = int(np.iinfo(np.int64).min)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _rolling(points: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hashes of all windows of `width` points, by doubling."""
-    power, size, result, offset = _BASE, 1, None, 0
+    power, size, result, offset = np.array([_BASE]), 1, None, 0
     block = points.astype(np.uint64) + np.uint64(1)
     while True:
         if width & size:

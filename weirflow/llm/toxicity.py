@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weirflow.llm.common import as_rows, map_rows, query, texts_of
+from weirflow.llm.common import as_rows, hash_sample, map_rows, query, texts_of
 from weirflow.plans.registry import table
 from weirflow.workspace import materialize
 
@@ -172,11 +172,10 @@ def fit_severity(
     labels of both kinds every document gets grade 0. The driver gets at most
     `FEATURES` features and `labelled` short vectors.
     """
-    chosen = (
-        labels.select(F.col(key).alias("key"), F.col("toxic").cast("int").alias("toxic"))
-        .filter("key is not null and toxic in (0, 1)")
-        .orderBy(F.xxhash64("key"), "key", "toxic").limit(labelled)
-    )
+    known = labels.select(
+        F.col(key).alias("key"), F.col("toxic").cast("int").alias("toxic")
+    ).filter("key is not null and toxic in (0, 1)")
+    chosen = hash_sample(known, labelled, "key")
     # At most `labelled` rows of two numbers: a bounded broadcast.
     sample = materialize(
         docs.select(docs[key].alias("key"), docs[text].alias("text")).filter("text is not null")
