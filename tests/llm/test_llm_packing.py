@@ -103,5 +103,5 @@ def test_cache_is_bounded(monkeypatch, tokenizer):
         own.learn([text])
         assert len(own.words) <= 7
         own.forget_long()
-        own.learn([text])
-        assert own.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        (words,) = own.learn([text])
+        assert own.ids(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids

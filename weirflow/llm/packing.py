@@ -21,6 +21,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,51 +35,111 @@ from weirflow.workspace import materialize
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 CACHED_CHARS = 48
 
 #: Separators that Python's split() knows but the tokenizer doesn't.
 _OTHER_SPACE = {"\x1c", "\x1d", "\x1e", "\x1f"}
+#: Characters of which a run behind letters is a piece of its own.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters below this are letters to Python and the tokenizer alike.
+_LATIN_END = "\u0250"
+_WORD_END = "</w>"
 
 
 class WordTokenizer:
-    """Ids by a tokenizer that never joins characters across white space: each
-    word is encoded once and remembered."""
+    """Ids by a tokenizer that never joins characters across white space, nor
+    letters to the marks behind them.
+
+    Every word is encoded once and remembered. New words of Latin letters are
+    encoded together: each is one piece, and the ids are cut behind those that
+    end a piece. All others are encoded one by one.
+    """
 
     def __init__(self, vocabulary: str | None) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if vocabulary is None:
             import public_tokenizers
 
             vocabulary = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
+        # For lower-case Latin letters between blanks, normalising and splitting
+        # change nothing, so the same merges are run without them.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(_WORD_END)
+                              for i in range(size)])
+        self.words: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, np.uint32).tobytes()
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that aren't known yet; those not worth keeping are
-        returned apart."""
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known = {}
-        apart = {}
-        for word in words:
-            (self.known if len(word) <= CACHED_CHARS else apart)[word] = self._encode(word)
-        return apart
-
-    def ids(self, text: str) -> np.ndarray:
-        if not _OTHER_SPACE.isdisjoint(text):
+    def _encode_letters(self, words: list[str]) -> None:
+        """Remember words of Latin letters, encoded in one call."""
+        if not words:
+            return
+        ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) == len(words):
+            data = ids.tobytes()
+            self.letters.update(zip(words, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
+        else:
+            self.letters.update((w, self._encode(w)) for w in words)
+
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """Encode the words of some texts that aren't known yet; returns the
+        words of each text."""
+        split = [text.split() for text in texts]
+        new: set[str] = set().union(*split)
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words = {}
+        if len(self.letters) > CACHED_WORDS:
+            self.letters = {}
+        new.difference_update(self.words)
+        parts, single = [], []
+        for word in new:
+            core = word.rstrip(_MARKS)
+            low = core.lower()
+            if core.isalpha() and len(core) <= CACHED_CHARS and (
+                core.isascii() or max(core) < _LATIN_END and len(low) == len(core)
+            ):
+                parts.append((word, low, word[len(core):]))
+            else:
+                single.append(word)
+        letters = self.letters
+        self._encode_letters([w for w in {p[1] for p in parts} if w not in letters])
+        tails = {"": b""}
+        for word, core, tail in parts:
+            if tail not in tails:
+                tails[tail] = self._encode(tail)
+            self.words[word] = letters[core] + tails[tail]
+        for word in single:
+            self.words[word] = self._encode(word)
+        return split
+
+    def ids(self, text: str, words: list[str]) -> np.ndarray:
+        """Ids of a text whose words are known."""
+        if not text.isprintable() and not _OTHER_SPACE.isdisjoint(text):
             return np.frombuffer(self._encode(text), np.uint32)
-        words = text.split()
-        known = self.known
-        new = {w for w in words if w not in known}
-        if new:
-            apart = self._learn(set(words) if len(known) + len(new) > CACHED_WORDS else new)
-            known = self.known | apart if apart else self.known
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint32)
+
+    def forget_long(self) -> None:
+        """Drop words that aren't worth their memory."""
+        for word in [w for w in self.words if len(w) > CACHED_CHARS]:
+            del self.words[word]
+
+
+@lru_cache(maxsize=1)
+def word_tokenizer(vocabulary: str | None) -> WordTokenizer:
+    """The tokenizer of a worker process, which keeps its words from task to task."""
+    return WordTokenizer(vocabulary)
 
 
 PIECES = (
@@ -88,19 +149,21 @@ PIECES = (
 
 def _tokenise(capacity: int, end_id: int, vocabulary: str | None):
     def run(batches):
-        tokenizer = WordTokenizer(vocabulary)
+        tokenizer = word_tokenizer(vocabulary)
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()  # pieces of each length in this task
         for batch in batches:
             rows = []
-            texts = batch.column("text").to_pylist()
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts):
-                ids = np.append(tokenizer.ids(text or ""), np.uint32(end_id)).astype("<u4")
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            docs = batch.column("doc_id").to_pylist()
+            for doc, text, words in zip(docs, texts, tokenizer.learn(texts)):
+                ids = np.append(tokenizer.ids(text, words), np.uint32(end_id)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start : start + capacity]
                     rows.append((doc, number, start, len(own), zlib.crc32(own.tobytes()),
                                  task, seen[len(own)]))
                     seen[len(own)] += 1
+            tokenizer.forget_long()
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
             columns = zip(*rows) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
