@@ -87,3 +87,40 @@ def test_fingerprints_of_a_table(spark):
     assert len(got) == odd_documents(spark).count()
     assert all(len(r["hashes"]) == len(r["places"]) <= y.SKETCH for r in got)
     assert all(8 * len(r["hashes"]) == len(r["fingerprint"]) for r in got)
+
+
+def test_long_documents_keep_all_anchors(spark):
+    """A passage that two long documents share, and an edit anywhere, count in full."""
+    word = lambda rnd: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 8)))
+    a, b, c = (" ".join(word(random.Random(1000 * i + j)) for j in range(4000)) for i in range(3))
+    passage = c[:300]
+    docs = spark.createDataFrame([(2, a + passage + a), (1, b + passage)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in y.compare_with_next(docs).collect()}
+    (own, _), (nxt, _), (common, _) = y.sketches([a + passage + a, b + passage, passage])
+    assert got[2]["near_next"] >= 2 * (len(common) - 4) / (len(own) + len(nxt))
+    assert len(got[2]["fingerprint"]) == 8 * len(plain_places(a + passage + a))
+    whole = {r["key"]: r for r in y.fingerprint_documents(docs, size=None).collect()}
+    assert whole[2]["fingerprint"] == got[2]["fingerprint"]
+    assert whole[2]["places"] == plain_places(a + passage + a)
+
+
+def test_matching_is_the_longest_common_subsequence(monkeypatch):
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, z in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == z else max(row[j], row[j + 1])
+        return row[-1]
+
+    rnd = random.Random(3)
+    for trial in range(300):
+        kinds = rnd.choice([1, 2, 5, 100])
+        a, b = ([rnd.randrange(kinds) for _ in range(rnd.choice([0, 1, 20, 90]))] for _ in range(2))
+        monkeypatch.setattr(y, "MASK_BYTES", rnd.choice([0, 1 << 20]))
+        assert y.matched(np.array(a, np.int64), np.array(b, np.int64)) == plain(a, b)
+        at = {v: [j for j in range(len(b) - 1, -1, -1) if b[j] == v] for v in b}
+        both = [v for v in a if v in at]
+        assert y._by_pairs(both, at) == y._by_bits(both, at, len(b)) == plain(a, b)
+    forth, back = np.arange(50), np.arange(50)[::-1]
+    assert y.likeness(forth, back) == 0.02  # equal sets, but in another order

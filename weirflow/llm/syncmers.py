@@ -5,16 +5,16 @@ is its first or its last. Whether it is depends on the k-mer alone, not on what
 surrounds it, so equal passages give equal anchors wherever they stand, and an
 edit changes only the anchors that overlap it.
 
-A fingerprint is the bottom sketch of a text's distinct anchors: the `SKETCH`
-smallest hashes with their places. The sketch is uniform over the whole text.
-The share j of common anchors among the smallest of both sketches together
-estimates the Jaccard index of the anchor sets; likeness is 2 j / (1 + j), the
-anchors both have in common as a share of those of a text.
+A fingerprint is all anchors of a text in the order of their places. Likeness
+matches the anchors of two fingerprints by position: the most pairs of equal
+anchors, each used once, that stand in the same order in both. It is the number
+of anchors so matched as a share of all anchors of both.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,8 @@ from weirflow.plans.registry import table
 
 K = 12
 S = 5
-SKETCH = 256
+SKETCH = 256  # of a sketch, where a caller asks for one
+MASK_BYTES = 64 << 20
 HASH_BITS = 32
 CHUNK_CHARS = 400_000
 ROWS_PER_PARTITION = 4_000
@@ -99,15 +100,77 @@ def fingerprint_text(hashes: np.ndarray) -> str:
     return hashes.astype(">u4").tobytes().hex()
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
-    """Dice index of the anchor sets, estimated from the `size` smallest hashes
-    of both. Two empty sketches are alike, an empty and another one are not."""
-    both = np.union1d(a, b)[:size]
-    if not len(both):
-        return 1.0
-    common = np.intersect1d(a, b, assume_unique=True)
-    share = float(np.searchsorted(common, both[-1], side="right")) / len(both)
-    return 2 * share / (1 + share)
+def _by_pairs(a: list[int], at: dict[int, list[int]]) -> int:
+    """Longest common subsequence: over the pairs of equal values, the longest
+    rising chain of places."""
+    ends: list[int] = []  # smallest last place of a chain of each length
+    for value in a:
+        for place in at[value]:  # descending, so that no two share a value of `a`
+            i = bisect_left(ends, place)
+            if i == len(ends):
+                ends.append(place)
+            else:
+                ends[i] = place
+    return len(ends)
+
+
+def _by_bits(a: list[int], at: dict[int, list[int]], size: int) -> int:
+    """The same, a bit for each of the `size` places: for values that repeat so
+    often that their pairs are too many."""
+    whole = (1 << size) - 1
+    held: dict[int, int] = {}
+    most = MASK_BYTES // (size // 8 + 1)
+
+    def mask(value: int) -> int:
+        if value in held:
+            return held[value]
+        bits = np.zeros(size, np.uint8)
+        bits[at[value]] = 1
+        made = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+        if len(held) < most:
+            held[value] = made
+        return made
+
+    open_bits = whole
+    for value in a:
+        hit = open_bits & mask(value)
+        if hit:
+            open_bits = ((open_bits + hit) | (open_bits - hit)) & whole
+    return size - open_bits.bit_count()
+
+
+def _same_ends(a: np.ndarray, b: np.ndarray) -> int:
+    """Equal values that both begin with."""
+    size = min(len(a), len(b))
+    differ = a[:size] != b[:size]
+    return int(differ.argmax()) if differ.any() else size
+
+
+def matched(a: np.ndarray, b: np.ndarray) -> int:
+    """Anchors of two fingerprints matched by position: the length of the longest
+    common subsequence of their hashes, exactly."""
+    head = _same_ends(a, b)
+    a, b = a[head:], b[head:]
+    tail = _same_ends(a[::-1], b[::-1])
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    a, b = a[np.isin(a, b)], b[np.isin(b, a)]
+    if not len(a):
+        return head + tail
+    at: dict[int, list[int]] = {}
+    for place in range(len(b) - 1, -1, -1):
+        at.setdefault(int(b[place]), []).append(place)
+    values = a.tolist()
+    pairs = sum(len(at[v]) for v in values)
+    if pairs <= len(values) * (16 + len(b) // 64):
+        return head + tail + _by_pairs(values, at)
+    return head + tail + _by_bits(values, at, len(b))
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the anchors of both fingerprints that match by position. Two
+    empty fingerprints are alike, an empty and another one are not."""
+    total = len(a) + len(b)
+    return 2 * matched(a, b) / total if total else 1.0
 
 
 def positional_matches(a, b) -> np.ndarray:
@@ -118,18 +181,22 @@ def positional_matches(a, b) -> np.ndarray:
     return pairs[np.argsort(pairs[:, 0], kind="stable")]
 
 
-def sketches(texts: list[str], size: int = SKETCH) -> list[tuple[np.ndarray, np.ndarray]]:
+def sketches(texts: list[str], size: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, places) of all anchors of each text, in text order; with a `size`
+    only its sketch."""
     result = []
     for part in in_chunks([len(t) for t in texts], CHUNK_CHARS):
-        result += [sketch(found, size) for found in anchors(texts[part])]
+        found = anchors(texts[part])
+        result += found if size is None else [sketch(one, size) for one in found]
     return result
 
 
 def fingerprint_documents(
-    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = SKETCH
+    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int | None = SKETCH
 ) -> DataFrame:
-    """key, fingerprint (hex of the sketch's hashes), hashes and places of every
-    row, where it stands. A null or empty text has no anchors."""
+    """key, fingerprint (hex of the hashes), hashes and places of every row, where
+    it stands: the sketch of `size`, or with None all anchors, as op10 has them.
+    A null or empty text has no anchors."""
 
     def run(batches):
         for batch in batches:
@@ -186,7 +253,7 @@ def _deal(bounds: np.ndarray):
 
 
 def _compare_neighbours(batches):
-    last = None  # (part, doc_id, text, sketch) of the row before
+    last = None  # (part, doc_id, text, anchors) of the row before
     for batch in batches:
         parts, ghosts = batch.column("part").to_pylist(), batch.column("ghost").to_pylist()
         ids = batch.column("doc_id").to_pylist()
@@ -201,11 +268,11 @@ def _compare_neighbours(batches):
                 last = (part, doc, text, own)
         changed = [edited(mine[2], text) for mine, text, _ in pairs]
         out = []
-        for (mine, _, nxt), new, (new_sketch, _) in zip(pairs, changed, sketches(changed)):
+        for (mine, _, nxt), new, (new_own, _) in zip(pairs, changed, sketches(changed)):
             _, doc, text, (own, _) = mine
             out.append((
                 doc, len(text), hashlib.sha256(new.encode()).hexdigest(), fingerprint_text(own),
-                fingerprint_text(new_sketch), likeness(own, new_sketch), likeness(own, nxt[0]),
+                fingerprint_text(new_own), likeness(own, new_own), likeness(own, nxt[0]),
             ))
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
         columns = zip(*out) if out else [()] * len(kinds)
