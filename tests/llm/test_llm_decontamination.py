@@ -63,6 +63,39 @@ def test_longest_matches(spark):
     assert [tuple(r) for r in best] == [("7", 40, 2, "1", 1)]
 
 
+def test_longest_matches_over_blocks(spark):
+    """Items of every block are searched, and documents get their longest match."""
+    rnd = random.Random(8)
+    text = lambda n: " ".join(rnd.choice("abcdef") for _ in range(n))
+    items = [(i, text(rnd.choice([2, 6, 30]))) for i in range(12)] + [(3, text(25)), (20, "a a a a q " * 3)]
+    docs = [(i, text(rnd.choice([3, 40, 150])) + rnd.choice(["", " " + items[i % 14][1]])) for i in range(25)]
+
+    def best(one, other, size):  # longest match of at least the item's window
+        a, b = one.split(), other.split()
+        row, most = [0] * (len(b) + 1), 0
+        for x in a:
+            row = [0] + [row[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+            most = max(most, *row)
+        return most if most >= min(size, len(b)) else 0
+
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    by_item = {}
+    for name, item in items:
+        by_item[str(name)] = max(by_item.get(str(name), 0), *(best(t, item, 5) for _, t in docs))
+    for block_bytes in (1 << 20, 300):
+        got = {r["item"]: r for r in d.longest_matches(
+            frame, bench, window=5, block_bytes=block_bytes).collect()}
+        assert {k: r["words"] for k, r in got.items()} == {k: v for k, v in by_item.items() if v}
+        for r in d.find_contamination(as_rows(frame), bench, window=5, block_bytes=block_bytes).collect():
+            most, x = max(best(r["row"]["text"], i, 5) for _, i in items), r["result"]["longest"]
+            assert (x["words"] if x else 0) == most
+            if x:
+                words = r["row"]["text"].split()[x["doc_word"] :][: x["words"]]
+                assert any(i.split()[x["item_word"] :][: x["words"]] == words
+                           for name, i in items if str(name) == x["item"])
+
+
 def test_odd_cases(spark, tmp_path):
     docs = odd_documents(spark)
     bench = spark.createDataFrame(

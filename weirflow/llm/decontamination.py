@@ -1,10 +1,12 @@
 """Benchmark decontamination with suffix arrays over shards of the training text.
 
 Every task gathers whole documents to shards of bounded size, builds a suffix
-array of the shard's words and binary-searches all suffixes of the benchmark in
-it. A suffix's longest match in the shard is at its place in the array; where
-that reaches a whole window, the array's interval below the window lists every
-occurrence. Documents are never shuffled.
+array of the shard's words and binary-searches the benchmark's suffixes in it,
+those that begin with the same window as one. Where a suffix's longest match
+reaches a whole window, the array's interval below the window lists every
+occurrence. The words from each occurrence on are searched among all suffixes of
+the benchmark, in its own array; so every document's longest match is found with
+its place. Documents are never shuffled.
 
 Words of the benchmark are numbered. Any other word ends every match, so only
 runs of benchmark words that can hold the shortest window enter the array.
@@ -15,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property, reduce
 from itertools import repeat
 
 import numpy as np
@@ -35,15 +38,22 @@ _FOLD = bytes(
     for b in range(256)
 )
 
+LONGEST = T.StructType([
+    T.StructField("words", T.LongType()), T.StructField("doc_word", T.LongType()),
+    T.StructField("item", T.StringType()), T.StructField("item_word", T.LongType()),
+])
 RESULT = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("hits", T.ArrayType(T.LongType())),
     T.StructField("items", T.ArrayType(T.StringType())),
     T.StructField("nameless", T.BooleanType()),
+    T.StructField("longest", LONGEST),
 ])
 RESULT_ARROW = pa.struct([
     ("n_words", pa.int64()), ("hits", pa.list_(pa.int64())), ("items", pa.list_(pa.string())),
     ("nameless", pa.bool_()),
+    ("longest", pa.struct([("words", pa.int64()), ("doc_word", pa.int64()),
+                           ("item", pa.string()), ("item_word", pa.int64())])),
 ])
 
 
@@ -66,6 +76,17 @@ class Benchmark:
     window_words: np.ndarray
     window_items: list[np.ndarray] = field(repr=False)
 
+    @cached_property
+    def suffixes(self) -> Shard:
+        """Array of all suffixes of the items."""
+        return Shard.build(self.words, 0)
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """For every position, where its item starts."""
+        new = np.r_[True, self.words[:-1] == 0][: len(self.words)]
+        return np.maximum.accumulate(np.where(new, np.arange(len(self.words)), 0))
+
     @property
     def least_window(self) -> int:
         return int(self.window_words.min()) if len(self.window_words) else 0
@@ -179,17 +200,20 @@ class Shard:
             lo[left[below]] = mid[below] + 1
             hi[left[~below]] = mid[~below]
 
-    def longest(self, bench: Benchmark, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words of the longest match of each test suffix, and a place of it."""
+    def longest(
+        self, test: np.ndarray, ends: np.ndarray, first: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Words of the longest match of each test suffix, and a place of it.
+        `ends` has the end of the suffix at every place of `test`."""
         best, place = np.zeros(len(first), np.int64), np.full(len(first), -1, np.int64)
         if not len(self.array):
             return best, place
-        size = bench.ends[first] - first
-        spot = self.search(bench.words, first, size, after=False)
+        size = ends[first] - first
+        spot = self.search(test, first, size, after=False)
         for near in (spot - 1, spot):
             there = np.flatnonzero((near >= 0) & (near < len(self.array)))
             at = self.array[near[there]]
-            _, shared = self.compare(at, bench.words, first[there], size[there])
+            _, shared = self.compare(at, test, first[there], size[there])
             more = shared > best[there]
             best[there[more]], place[there[more]] = shared[more], at[more]
         return best, place
@@ -227,7 +251,7 @@ def _occurrences(shard: Shard, bench: Benchmark) -> tuple[np.ndarray, np.ndarray
     none = np.zeros(0, np.int64)
     if not len(shard.array) or not len(bench.window_at):
         return none, none
-    match, _ = shard.longest(bench, bench.window_at)
+    match, _ = shard.longest(bench.words, bench.ends, bench.window_at)
     found = np.flatnonzero(match >= bench.window_words)
     at, size = bench.window_at[found], bench.window_words[found]
     lo = shard.search(bench.words, at, size, after=False)
@@ -255,6 +279,12 @@ def _scan_shard(held: list, shard: Shard, first: np.ndarray, bench: Benchmark, e
     order = np.argsort(doc, kind="stable")
     place, window, doc = place[order], window[order], doc[order]
     edges = np.searchsorted(doc, np.arange(len(first)))
+    # A match of a window or more begins where a window does.
+    words, spot = bench.suffixes.longest(shard.words, shard.ends, place)
+    # A shorter one counts only if it is a whole item, as the window itself then is.
+    short = words < bench.window_words.max(initial=0)
+    words = np.where(short, bench.window_words[window], words)
+    spot = np.where(short, bench.window_at[window], spot)
     answers = []
     for i in range(len(first) - 1):
         mine = slice(edges[i], edges[i + 1])
@@ -262,15 +292,22 @@ def _scan_shard(held: list, shard: Shard, first: np.ndarray, bench: Benchmark, e
         starts = place[mine] - first[i]
         hits = np.column_stack([starts, starts + bench.window_words[window[mine]]])
         names: set[str | None] = set()
+        longest = None
         if len(starts):
+            best = edges[i] + int(np.lexsort((starts, -words[mine]))[0])
+            at = int(spot[best])
+            longest = {"words": int(words[best]), "doc_word": int(place[best] - first[i]),
+                       "item": bench.names[bench.item_of[at]], "item_word": at - int(bench.starts[at])}
             owners = [bench.window_items[w] for w in np.unique(window[mine])]
             names = {bench.names[x] for x in np.unique(np.concatenate(owners))}
         if before:
             hits = np.vstack([hits, np.array(before["hits"], np.int64).reshape(-1, 2)])
             names |= set(before["items"]) | ({None} if before["nameless"] else set())
+            if before["longest"] and (not longest or longest["words"] <= before["longest"]["words"]):
+                longest = before["longest"]
         answers.append({
             "n_words": int(first[i + 1] - first[i] - 1), "hits": _merged(hits),
-            "items": sorted(n for n in names if n is not None), "nameless": None in names,
+            "items": sorted(n for n in names if n is not None), "nameless": None in names, "longest": longest,
         })
     return answers
 
@@ -303,7 +340,9 @@ def find_contamination(
     """Add `result` to a table of `row` structs: n_words; hits, the ranges of
     words inside any window's occurrence (start, end, start, end, …); items,
     the sorted ids of items with an occurring window; nameless, true if an item
-    without an id is among them.
+    without an id is among them; longest, the longest verbatim match with any item
+    that holds a window: words, doc_word and item_word (where it starts, from 0)
+    and item, one of those that have it. It is null if there is no hit.
 
     The benchmark is sent to the tasks in blocks of about `block_bytes` of
     text; a larger one takes one pass over the documents per block. A null or
@@ -335,48 +374,57 @@ def find_contamination(
     return state
 
 
+MATCH = "item string, words long, item_word long, key string, doc_word long"
+
+
 def longest_matches(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", key: str = "doc_id",
     item: str = "item_id", item_text: str = "text", window: int = WINDOW_WORDS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The longest verbatim match of every item over all shards, if it reaches
     a window: item, words, item_word (where it starts in the item, from 0),
-    key and doc_word (where it starts in the document). The smallest key wins
-    ties. For a benchmark of one block."""
-    block = next(_blocks(benchmark, item, item_text, BLOCK_BYTES)).collect()
-    shared = docs.sparkSession.sparkContext.broadcast(
-        index_benchmark([(r["item"], r["text"]) for r in block], window)
-    )
+    key and doc_word (where it starts in the document), one of those as long.
+    One pass over the documents per block of the benchmark."""
+    context = docs.sparkSession.sparkContext
     rows = as_rows(docs.select(docs[key].cast("string").alias("key"), docs[text].alias("text")))
+    passes = []
+    for block in _blocks(benchmark, item, item_text, block_bytes):
+        shared = context.broadcast(
+            index_benchmark([(r["item"], r["text"]) for r in block.collect()], window)
+        )
+        passes.append(rows.mapInArrow(_longest_of_items(shared, window), MATCH))
+    found = reduce(DataFrame.unionAll, passes)
+    order = F.struct(F.col("words"), *[-F.col(c) for c in ("item_word", "doc_word")])
+    return found.groupBy("item").agg(
+        F.max_by(F.struct("words", "item_word", "key", "doc_word"), order).alias("best")
+    ).select("item", "best.*")
+
 
+def _longest_of_items(shared, window: int):
     def run(batches):
         bench = shared.value
         suffixes = np.flatnonzero(bench.words)
+        least = np.minimum(window, bench.ends - bench.starts)[suffixes]
         for held, shard, first in _shards(batches, "text", bench):
             keys = [k for b in held for k in b.column("row").field("key").to_pylist()]
-            words, place = shard.longest(bench, suffixes)
+            words, place = shard.longest(bench.words, bench.ends, suffixes)
             best: dict[int, tuple] = {}
-            for s in np.flatnonzero(words >= bench.least_window):
+            for s in np.flatnonzero(words >= least):
                 owner = int(bench.item_of[suffixes[s]])
                 if owner not in best or words[s] > best[owner][0]:
                     best[owner] = (int(words[s]), int(suffixes[s]), int(place[s]))
             found = []
             for owner, (count, suffix, at) in best.items():
                 doc = int(np.searchsorted(first, at, side="right")) - 1
-                start = int(np.searchsorted(bench.item_of, bench.item_of[suffix]))
-                found.append({"item": bench.names[owner], "words": count, "item_word": suffix - start,
+                found.append({"item": bench.names[owner], "words": count,
+                              "item_word": suffix - int(bench.starts[suffix]),
                               "key": keys[doc], "doc_word": int(at - first[doc])})
             yield pa.RecordBatch.from_pylist(found, pa.schema([
                 ("item", pa.string()), ("words", pa.int64()), ("item_word", pa.int64()),
                 ("key", pa.string()), ("doc_word", pa.int64())]))
 
-    found = rows.mapInArrow(
-        run, "item string, words long, item_word long, key string, doc_word long"
-    )
-    order = F.struct(F.col("words"), *[-F.col(c) for c in ("item_word", "doc_word")])
-    return found.groupBy("item").agg(
-        F.max_by(F.struct("words", "item_word", "key", "doc_word"), order).alias("best")
-    ).select("item", "best.*")
+    return run
 
 
 def hit_words(hits: Column) -> Column:
