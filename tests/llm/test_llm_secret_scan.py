@@ -79,6 +79,23 @@ def test_spans_and_masks_equal_brute_force(spark, documents):
         assert r["m"] == (masked(text, spans) if spans else r["text"])
 
 
+def test_secrets_with_few_digits_and_beside_allowed_words(spark):
+    letters, key = "QwErTyUiOpAsDfGhJkLzXcVb", "q8W3z9K1mR5tY7uI2oP4"
+    cases = [
+        (f"x {letters} y", 2, 26), ("lower thequickbrwnfxjmpsvlazydg end", 6, 31),
+        (f"sample_key={key}", None, 31), (f"/example/{key} end", None, 29),
+    ]
+    texts = [t for t, _, _ in cases] + ["Einungtzheitgeungverlich keitstlichschenverpf", f"x example{key} y"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r["text"]: r["f"] for r in df.select("text", s.candidate_spans(F.col("text")).alias("f")).collect()}
+    for text, start, end in cases:
+        assert found[text], text
+        assert max(x["end"] for x in found[text]) == end
+        assert start is None or min(x["start"] for x in found[text]) == start
+    assert found[f"/example/{key} end"][0]["start"] >= len("/example")
+    assert found[texts[-2]] == [] == found[texts[-1]]
+
+
 def test_query(spark, sf, documents):
     texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
     got = all_queries()["op3_secrets"](spark, sf)

@@ -6,8 +6,8 @@ strings are folded over once, character by character: the window's counts per
 character and per character class change by the character that enters and the
 one that leaves, and with them the sum of c·log2(c), kept in whole billionths
 so that no rounding gathers. A window counts when its entropy reaches the
-threshold of the narrowest class that holds all its characters, and when the
-candidate is not on the allow-list.
+threshold of the narrowest class that holds all its characters, that of letters
+if it has hardly a digit, and when it touches nothing on the allow-list.
 """
 
 from __future__ import annotations
@@ -34,14 +34,20 @@ KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_bas
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LEAST_DIGITS = 2
+#: Bits per character that a window outside the hex class must reach if it has
+#: fewer digits than that: words, and words joined by separators, stay below.
+LETTERS_THRESHOLDS = {"entropy_alnum": 3.7, "entropy_base64": 3.75}
 #: Bits per character that a window of the class must reach.
 THRESHOLDS = {"entropy_hex": 2.75, "entropy_alnum": 3.4, "entropy_base64": 3.7}
-#: Candidates that are known not to be secrets.
+ALLOWED_WORDS = r"(?i)(example|placeholder|changeme|dummy|sample|xxxx)"
+#: What is known not to be a secret: whole candidates by the first two, and by the
+#: words only the letters and digits around one, up to the next separator.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^sha(256|384|512)-",
-    r"(?i)(example|placeholder|changeme|dummy|sample|xxxx)",
+    ALLOWED_WORDS,
 )
+ALLOWED_PART = rf"(?<![A-Za-z0-9])[A-Za-z0-9]*{ALLOWED_WORDS}[A-Za-z0-9]*"
 
 _SCALE = 10**9
 _FIRST, _SYMBOLS = ord("+"), ord("z") - ord("+") + 1
@@ -105,7 +111,11 @@ def _weights() -> Column:
 
 def most_weight(kind: str) -> int:
     """The largest sum of c·log2(c) at which a window reaches the threshold."""
-    return math.floor(WINDOW * (math.log2(WINDOW) - THRESHOLDS[kind]) * _SCALE)
+    return _most_weight(THRESHOLDS[kind])
+
+
+def _most_weight(threshold: float) -> int:
+    return math.floor(WINDOW * (math.log2(WINDOW) - threshold) * _SCALE)
 
 
 def _let(value: Column, then) -> Column:
@@ -157,9 +167,9 @@ def _moves(candidate: Column) -> Column:
     )
 
 
-def entropy_spans(candidate: Column) -> Column:
-    """Spans of the windows of a candidate that count, those of one class
-    joined where they overlap."""
+def entropy_spans(candidate: Column, allowed: Column) -> Column:
+    """Spans of the windows of a candidate that count and touch none of the
+    `allowed` spans, those of one class joined where they overlap."""
     weights = _weights()
     one, zero = F.lit(1), F.lit(0)
 
@@ -195,9 +205,14 @@ def entropy_spans(candidate: Column) -> Column:
         most = F.when(new["hex"] == WINDOW, F.lit(most_weight("entropy_hex"))).when(
             new["plain"] == WINDOW, F.lit(most_weight("entropy_alnum"))
         ).otherwise(F.lit(most_weight("entropy_base64")))
+        lettered = (new["hex"] == WINDOW) | (new["digits"] >= LEAST_DIGITS) | (
+            new["weight"] <= F.when(
+                new["plain"] == WINDOW, F.lit(_most_weight(LETTERS_THRESHOLDS["entropy_alnum"]))
+            ).otherwise(F.lit(_most_weight(LETTERS_THRESHOLDS["entropy_base64"])))
+        )
         counts = (
-            (x["end"] >= WINDOW) & (new["weight"] <= most)
-            & (new["digits"] >= LEAST_DIGITS) & (new["digits"] < WINDOW)
+            (x["end"] >= WINDOW) & (new["weight"] <= most) & lettered & (new["digits"] < WINDOW)
+            & ~F.exists(allowed, lambda a: (a["start"] < x["end"]) & (a["end"] > x["end"] - WINDOW))
         )
         start, spans = x["end"] - WINDOW, state["spans"]
         last = F.try_element_at(spans, F.lit(-1))
@@ -227,13 +242,17 @@ def entropy_spans(candidate: Column) -> Column:
 
 
 def candidate_spans(text: Column) -> Column:
-    """Entropy spans of all candidates of a text that hold a digit and are not
-    on the allow-list."""
+    """Entropy spans of all candidates of a text that are not on the allow-list
+    as a whole."""
     def scanned(match: Column) -> Column:
         allowed = F.lit(False)
-        for pattern in ALLOWED:
+        for pattern in ALLOWED[:2]:
             allowed = allowed | match.rlike(pattern)
-        return match.rlike("[0-9]") & ~allowed
+        return ~allowed
+
+    def spans_of(match: Column) -> Column:
+        allowed = pattern_spans(match, ALLOWED_PART, 5, ALLOWED_WORDS)
+        return _let(allowed, lambda parts: entropy_spans(match, parts))
 
     places = pattern_spans(text, CANDIDATE, 5, CANDIDATE)
     matches = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
@@ -247,7 +266,7 @@ def candidate_spans(text: Column) -> Column:
     shifted = F.transform(
         paired,
         lambda x: F.transform(
-            entropy_spans(x["match"]),
+            spans_of(x["match"]),
             lambda s: _span(s["start"] + x["at"], s["kind"], s["end"] + x["at"]),
         ),
     )
