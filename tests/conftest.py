@@ -49,7 +49,3 @@ def sqlite(tmp_path):
         "url": str(tmp_path / "tables.db"),
         "connectOptions": '{"timeout": 120}',
     }
-
-
-def tuples(df):
-    return [tuple(row) for row in df.collect()]

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from weirflow.operators.datamart import append_snapshot, create_datamart, next_snapshot_id
 from weirflow.sources import dbtable
 from weirflow.sources.jdbc import (

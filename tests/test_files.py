@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from weirflow.operators.compaction import compact_folders
 from weirflow.schemas import COUNTRIES, OCCUPANCY_LAKE, TAXI_ZONES
 from weirflow.sinks.files import save_by_partition, save_json_array, save_parquet

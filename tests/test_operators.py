@@ -4,7 +4,7 @@ import math
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from weirflow.operators.documents import pack_json_arrays, rows_per_document
 from weirflow.operators.labels import class_balance, label_metrics
 from weirflow.operators.metrics import as_metric_rows, null_profile, summary_metrics

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import tuples
+from helpers import tuples
 from weirflow.operators.popularity import count_by_hour, rank_by_popularity, reconcile_counts
 from weirflow.schemas import TAXI_ZONES
 

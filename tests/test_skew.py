@@ -4,7 +4,7 @@ hot group is spread over tasks or shrunk before it is shuffled."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from weirflow.operators.popularity import rank_by_popularity
 from weirflow.operators.ranking import number_rows, tail_per_partition
 from weirflow.sinks.files import save_by_partition

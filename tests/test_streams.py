@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from weirflow.functions.parsing import (
     first_or, parse_csv_messages, parse_json_messages, split_usable,
 )
