@@ -4,6 +4,7 @@ from weirflow.llm import (
     decontamination,
     extraction,
     language,
+    mixing,
     packing,
     secret_scan,
     sharding,
@@ -18,6 +19,7 @@ MODULES = (
     decontamination,
     extraction,
     language,
+    mixing,
     packing,
     secret_scan,
     sharding,
