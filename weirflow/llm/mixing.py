@@ -38,7 +38,8 @@ MOST = 2
 
 BLOCK_WORDS = 1024
 SHARD_SLOTS = 1024
-KEYS_PER_BUCKET = 8192
+KEYS_PER_BUCKET = 1024
+SLOTS_PER_TASK = 32_768
 CELLS = 1024
 ROUNDS = 32
 
@@ -177,7 +178,7 @@ def draw_counts(spark: SparkSession, sources: DataFrame, slots: int, shard_slots
     )
 
 
-def fill_slots(sources: DataFrame, counts: DataFrame) -> DataFrame:
+def fill_slots(sources: DataFrame, counts: DataFrame, slots: int) -> DataFrame:
     """(shard, number, turn): every slot with the source that fills it and the
     slot's turn among those of the source, from 0 to its slots less one.
 
@@ -201,7 +202,10 @@ def fill_slots(sources: DataFrame, counts: DataFrame) -> DataFrame:
         "moved": F.sum("over").over(Window.partitionBy()),
     })
     turn = F.explode(F.sequence("before", F.col("before") + F.col("drawn") - 1))
-    draws = counts.withColumn("before", before).join(quotas, "number").select(
+    # A source's counts come out of one task; its slots are spread again.
+    tasks = max(1, -(-slots // SLOTS_PER_TASK))
+    ordered = counts.withColumn("before", before).repartition(tasks, "shard", "number")
+    draws = ordered.join(quotas, "number").select(
         "shard", "number", "total", "over", "over_before", "moved", turn.alias("draw")
     ).withColumns({
         "gone": F.expr("draw * over div total"),
@@ -300,7 +304,7 @@ def mix_sources(
     counts = materialize(draw_counts(spark, sources, slots, shard_slots), "mix-draws") if slots else (
         spark.createDataFrame([], "shard long, number int, drawn long")
     )
-    taken = take_blocks(fill_slots(sources, counts), sources, block_words)
+    taken = take_blocks(fill_slots(sources, counts, slots), sources, block_words)
     pieces = join_blocks(lay_out(placed, documents), taken, block_words)
     return Mix(placed.select("uid", "row", "size", "part"), sources, pieces)
 
