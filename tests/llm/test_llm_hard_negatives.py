@@ -1,0 +1,124 @@
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from weirflow.llm import hard_negatives as module
+from weirflow.llm.catalog import all_oracles, all_queries
+from weirflow.llm.common import as_rows
+from weirflow.llm.hard_negatives import (
+    best, bit_planes, mine_hard_negatives, padded, score_type, scores, subset_sums,
+)
+
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+SCHEMA = "vec_id long, vector array<long>, label int, anchor boolean, uid string, score string, positive string"
+
+
+def brute_force(rows):
+    """All pairs, in the order of the table."""
+    rows = [r for r in rows if r[2] is not None and r[1] is not None and None not in r[1]]
+
+    def score(a, b):
+        return sum(x * y for x, y in zip(a, b))
+
+    def first(found, k):
+        return sorted(found, key=lambda f: (-f[0], f[1] is None, f[1] or 0, f[2]))[:k]
+
+    result = []
+    for a, (anchor, vector, label, asked, *_) in enumerate(rows):
+        if not asked:
+            continue
+        all_of = [(score(vector, r[1]), r[0], i, r[2]) for i, r in enumerate(rows) if i != a]
+        for p in first([f for f in all_of if f[3] == label], 5):
+            fit = [f for f in all_of if f[3] != label and 30 * p[0] <= 100 * f[0] <= 90 * p[0]]
+            result += [(anchor, p[1], k, f[1], p[0], f[0]) for k, f in enumerate(first(fit, 10), 1)]
+    return sorted(result, key=str)
+
+
+def mined(spark, rows):
+    df = spark.createDataFrame([(*r, "u", "s", "p") for r in rows], SCHEMA).coalesce(1)
+    got = mine_hard_negatives(as_rows(df), id="vec_id", vector="vector", label="label", anchor="anchor")
+    assert got.columns == COLUMNS
+    return sorted(map(tuple, got.collect()), key=str)
+
+
+def random_rows(n, dims, labels, seed, spread=40):
+    rng = np.random.default_rng(seed)
+    return [(i, rng.integers(-spread, spread, dims).tolist(), int(rng.integers(labels)), i % 9 == 0)
+            for i in rng.permutation(n).tolist()]
+
+
+@pytest.mark.parametrize("name", ["sf0.001", "sf0.1"])
+def test_query(spark, name):
+    folder = f"/root/testdata/{name}"
+    connection = duckdb.connect()
+    file = Path(folder) / "embeddings.parquet"
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{file}'")
+    want = connection.execute(all_oracles()["op12_hard_negatives"]).df()[COLUMNS]
+    got = all_queries()["op12_hard_negatives"](spark, folder).select(*COLUMNS)
+    assert [t for _, t in got.dtypes] == ["bigint", "bigint", "int", "bigint", "bigint", "bigint"]
+    rows = sorted(map(tuple, got.collect()))
+    assert rows and rows == sorted(want.itertuples(index=False, name=None))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 20), st.integers(1, 9), st.integers(1, 5), st.sampled_from([1, 2, 200, 10**6, 2**24]),
+       st.integers(0, 10**6))
+def test_scores(dims, rows, anchors, spread, seed):
+    rng = np.random.default_rng(seed)
+    width = -(-dims // 8) * 8
+    a = padded(rng.integers(-spread, spread, (anchors, dims)).tolist(), width)
+    r = padded(rng.integers(-spread, spread, (rows, dims)).tolist(), width)
+    kind = score_type(a, r)
+    assert (scores(bit_planes(r), subset_sums(a.astype(kind))) == r @ a.T).all()
+
+
+def test_best_settles_ties_by_place():
+    values = np.array([3, 5, 3, 5, 1, 3])
+    assert best(values, 4).tolist() == [1, 3, 0, 2] and best(values, 9).tolist() == [1, 3, 0, 2, 5, 4]
+
+
+@pytest.mark.parametrize("spread", [3, 40])
+def test_brute_force(spark, monkeypatch, spread):
+    monkeypatch.setattr(module, "ANCHORS_PER_PASS", 7)
+    rows = random_rows(120, 12, 3, spread, spread)
+    assert mined(spark, rows) == brute_force(rows) != []
+
+
+def test_odd_rows(spark):
+    rows = random_rows(40, 10, 2, 5) + [
+        (18, [1] * 10, None, True), (19, None, 1, True), (20, [1, None], 1, False), (None, [7] * 10, 0, True),
+        (None, [7] * 10, 1, None), (3, [9] * 10, 0, True), (3, [9] * 10, 0, True), (5, [], 1, True),
+        (6, [4] * 3, 1, False), (7, [30] * 14, 0, False), (8, [0] * 10, 0, True),
+    ]
+    assert mined(spark, rows) == brute_force(rows) != []
+
+
+def test_one_vector_for_all(spark):
+    rows = [(i, [2] * 8, i % 2, i % 10 == 0) for i in range(60)]
+    assert mined(spark, rows) == []
+    rows = [(i, [10 - i % 3] * 8, i % 2, i % 10 == 0) for i in range(60)]
+    assert mined(spark, rows) == brute_force(rows) != []
+
+
+def test_nothing_to_do(spark):
+    assert mined(spark, []) == [] and mined(spark, [(1, [1, 2], 0, False)]) == []
+    assert mined(spark, [(1, [1, 2], 0, True)]) == []
+
+
+def test_too_large(spark):
+    with pytest.raises(Exception, match="bits"):
+        mined(spark, [(1, [2**40] * 8, 0, True), (2, [2**40] * 8, 0, False)])
+
+
+def test_components_that_are_not_numbers(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [0.1 * (i % 7), 0.5, -0.25], i % 3) for i in range(201)]
+    rows += [(300, [nan, 1.0, 1.0], 0), (400, [inf, 1.0, 1.0], 0), (500, [None, 1.0, 1.0], 0), (600, None, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = all_queries()["op12_hard_negatives"](spark, str(tmp_path)).collect()
+    assert {r["anchor_id"] for r in got} <= {0, 100, 200} and len(got) > 0

@@ -3,6 +3,7 @@
 from weirflow.llm import (
     decontamination,
     extraction,
+    hard_negatives,
     language,
     mixing,
     packing,
@@ -18,6 +19,7 @@ from weirflow.llm.common import plans
 MODULES = (
     decontamination,
     extraction,
+    hard_negatives,
     language,
     mixing,
     packing,
