@@ -1,6 +1,7 @@
 """All registered queries of this folder and their oracles."""
 
 from weirflow.llm import (
+    collocations,
     decontamination,
     extraction,
     hard_negatives,
@@ -17,6 +18,7 @@ from weirflow.llm import (
 from weirflow.llm.common import plans
 
 MODULES = (
+    collocations,
     decontamination,
     extraction,
     hard_negatives,
