@@ -96,7 +96,7 @@ def test_bursts_spills_and_hot_words(spark):
     """Small limits: containers burst, subtrees are spilled again and again, frequent
     words deepen the prefix partitions, and texts are cut into chunks."""
     limits = Limits(
-        chunk_bytes=64, bitmap_bits=128, burst=5, entries=40, hot_words=10**6, hot_count=60, partition_windows=300
+        chunk_bytes=64, bitmap_bits=128, burst=5, entries=40, hot_words=50, partition_windows=300
     )
     rows = random_texts(5)
     assert mined(spark, rows, 3, limits=limits) == brute_force(rows, 3, 2000) != []
@@ -148,11 +148,12 @@ def test_words(rows, chunk):
     assert len(set(ids.values())) == len(ids)
 
 
-def test_trie_counts_and_spills():
+@pytest.mark.parametrize("width", [2, 3, 5])
+def test_trie_counts_and_spills(width):
     rng = np.random.default_rng(3)
-    trie, want, got = HatTrie(burst=10), Counter(), Counter()
+    trie, want, got = HatTrie(width, burst=10), Counter(), Counter()
     for _ in range(8):
-        windows = rng.integers(1, 4, (200, 5)).astype(np.uint64)
+        windows = rng.integers(1, 4 if width > 2 else 40, (200, width)).astype(np.uint64)
         want.update(map(tuple, windows.tolist()))
         trie.add(windows)
         rows, counts = unpack_run(pack_run(*trie.spill(100)))

@@ -3,21 +3,23 @@ than their parts would by chance.
 
 Words become 64-bit ids, a hash of language and word. A table of all words with
 their counts proves that no two share an id; if two do, the next seed is taken.
-A phrase can't be frequent if one of its words is not, so rarer words end a
-window. A fixed bitmap of the frequent words' ids tells the tasks which: it may
-keep a rare word, which costs work, but never drops a frequent one.
-
-Every task counts windows of up to five words in a HAT-trie: hash containers of
-window tails under a shallow trie of first words. A container that grows large
-bursts into one per next word. When the trie holds too many entries, whole
-subtrees are spilled as sorted runs, largest first, each run cut by prefix
-partition. The runs of a partition are merged in one task, and the count of a
-phrase is the sum over all windows that begin with it, a subtree of the trie.
-
-A prefix partition holds the windows with the same first two words. If both are
-among the few thousand most frequent words, the third word decides too, and so on,
-so that no partition hangs on one frequent pair. A phrase of such words only may
-then have its count in several partitions, and these are summed up after.
+A phrase can't be frequent if one of its words or pairs of neighbours is not, so
+pairs of frequent words are counted first and longer windows end where a pair is
+too rare. Fixed bitmaps of the frequent words' and pairs' hashes tell the tasks
+which: they may keep a rare one, which costs work, but never drop a frequent one.
+
+Every task counts its windows, first of two and then of up to five words, in a
+HAT-trie: hash containers of window tails under a shallow trie of first words. A
+container that grows large bursts into one per next word. When the trie holds too
+many entries, whole subtrees are spilled as sorted runs, largest first, each run
+cut by prefix partition. The runs of a partition are merged in one task, and the
+count of a phrase is the sum over all windows that begin with it, a subtree of the
+trie.
+
+A prefix partition holds windows with the same first three words (pairs: two). If
+all are among the thousand most frequent words, the fourth word decides too, and
+so on, so that no partition hangs on one frequent prefix. A phrase of such words
+only may then have its count in several partitions, and these are summed up after.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,16 +58,15 @@ _KIND[list(ENDS)] = 2
 @dataclass(frozen=True)
 class Limits:
     """Sizes that bound memory; results don't hang on them. `entries` of a task's
-    trie, of which a container bursts above `burst`; words with more than
-    `hot_count` occurrences and more than one in `hot_words` of all deepen the prefix
-    partitions, of which there is one per `partition_windows` words."""
+    trie, of which a container bursts above `burst`; words that are more than one in
+    `hot_words` of all deepen the prefix partitions, of which there is one per
+    `partition_windows` words."""
 
     chunk_bytes: int = 1 << 21
-    bitmap_bits: int = 1 << 24
+    bitmap_bits: int = 1 << 25
     burst: int = 4096
     entries: int = 1 << 20
-    hot_words: int = 4096
-    hot_count: int = 1 << 16
+    hot_words: int = 1024
     partition_windows: int = 1 << 20
 
 
@@ -75,12 +77,17 @@ def byte_values(seed: int) -> np.ndarray:
     return values
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    result = np.full(n, base, np.uint64)
+@lru_cache(maxsize=4)
+def _powers_of(base: int, bits: int) -> np.ndarray:
+    result = np.full(1 << bits, base, np.uint64)
     result[0] = 1
     return np.cumprod(result, dtype=np.uint64)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return _powers_of(base, n.bit_length())[:n]
+
+
 class Words:
     """The words of a batch of texts, in order: `ids`, `start` and `end` bytes in
     `data`, `row` of the batch, and `piece`, a number that changes between words
@@ -183,12 +190,12 @@ def word_table(docs: DataFrame, limits: Limits) -> tuple[DataFrame, np.ndarray]:
 
 
 class HatTrie:
-    """Counts of windows of WIDTH ids. The root maps a first word to a container,
-    that is a hash table of the other four ids, or, once that has burst, to a node
-    of containers by second word. `spill` gives whole subtrees back as sorted rows."""
+    """Counts of windows of `width` ids. The root maps a first word to a container,
+    that is a hash table of the other ids, or, once that has burst, to a node of
+    containers by second word. `spill` gives whole subtrees back as sorted rows."""
 
-    def __init__(self, burst: int) -> None:
-        self.burst = burst
+    def __init__(self, width: int, burst: int) -> None:
+        self.width, self.burst = width, burst
         self.root: dict[int, Counter | dict[int, Counter]] = {}
         self.entries = 0
         self.sizes: Counter = Counter()
@@ -196,8 +203,9 @@ class HatTrie:
     def add(self, windows: np.ndarray) -> None:
         if not len(windows):
             return
-        windows = windows[np.lexsort((windows[:, 1], windows[:, 0]))]
-        tails = [_tails(windows, depth) for depth in (1, 2)]
+        keys = windows[:, :1] if self.width == 2 else windows[:, 1::-1]
+        windows = windows[np.lexsort(keys.T)]
+        tails = [_tails(windows, depth) for depth in range(1, min(3, self.width))]
         new_first = np.flatnonzero(np.diff(windows[:, 0], prepend=~windows[:1, 0])).tolist()
         second = windows[:, 1]
         for start, end in zip(new_first, [*new_first[1:], len(windows)]):
@@ -209,7 +217,7 @@ class HatTrie:
             if isinstance(node, Counter):
                 node.update(tails[0][start:end])
                 size = len(node)
-                if size > self.burst:
+                if size > self.burst and self.width > 2:
                     self.root[word] = _burst(node)
             else:
                 size = before
@@ -226,7 +234,7 @@ class HatTrie:
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """Take out the largest subtrees until at most `keep` entries are left;
         (windows, counts) sorted by ids."""
-        rows, counts = [np.zeros((0, WIDTH), np.uint64)], [np.zeros(0, np.int64)]
+        rows, counts = [np.zeros((0, self.width), np.uint64)], [np.zeros(0, np.int64)]
         for word, size in self.sizes.most_common():
             if self.entries <= keep:
                 break
@@ -244,7 +252,7 @@ class HatTrie:
 
 def _tails(windows: np.ndarray, depth: int) -> list[bytes]:
     tails = np.ascontiguousarray(windows[:, depth:])
-    return tails.view(f"V{8 * (WIDTH - depth)}").ravel().tolist()
+    return tails.view(f"V{8 * tails.shape[1]}").ravel().tolist()
 
 
 def _burst(container: Counter) -> dict[int, Counter]:
@@ -262,36 +270,68 @@ def _containers(word: int, node) -> Iterator[tuple[tuple[int, ...], Counter]]:
             yield (word, second), container
 
 
-def windows_of(words: Words, frequent: np.ndarray) -> np.ndarray:
-    """For every place the window of up to WIDTH frequent words of one piece, zero
-    where it ends before; windows of one word are left out."""
-    cells = frequent[(words.ids >> np.uint64(6)) & np.uint64(len(frequent) - 1)]
-    rare = (cells >> (words.ids & np.uint64(63))) & np.uint64(1) == 0
-    ids, piece = words.ids[~rare], (words.piece + np.cumsum(rare))[~rare]
-    result = np.zeros((len(ids), WIDTH), np.uint64)
+@dataclass(frozen=True)
+class Counting:
+    """What the tasks of one counting know: the lengths of phrases they count, from
+    `shortest` to `width`, the bitmaps of frequent words and, for phrases above two
+    words, pairs, the frequent words that deepen prefixes, and the partitions."""
+
+    shortest: int
+    width: int
+    values: np.ndarray
+    words: np.ndarray
+    pairs: np.ndarray | None
+    hot: np.ndarray
+    partitions: int
+    least: int
+    limits: Limits
+
+
+def marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    cells = bitmap[(hashes >> np.uint64(6)) & np.uint64(len(bitmap) - 1)]
+    return (cells >> (hashes & np.uint64(63))) & np.uint64(1) == 1
+
+
+def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mixed(first ^ mixed(second))
+
+
+def windows_of(words: Words, task: Counting) -> np.ndarray:
+    """For every place the window of up to `width` frequent words of one piece, zero
+    where it ends before; windows below the shortest phrase are left out."""
+    often = marked(task.words, words.ids)
+    ids, piece = words.ids[often], (words.piece + np.cumsum(~often))[often]
+    if task.pairs is not None:
+        rare = ~marked(task.pairs, pair_hash(ids[:-1], ids[1:]))
+        piece[1:] += np.cumsum(rare)
+    result = np.zeros((len(ids), task.width), np.uint64)
     result[:, 0] = ids
-    for j in range(1, WIDTH):
+    for j in range(1, task.width):
         same = piece[j:] == piece[:-j]
         result[: len(ids) - j, j][same] = ids[j:][same]
-    return result[result[:, 1] != 0]
+    return result[result[:, task.shortest - 1] != 0]
 
 
-def partition_of(rows: np.ndarray, hot: np.ndarray, partitions: int) -> np.ndarray:
+def partition_of(rows: np.ndarray, task: Counting) -> np.ndarray:
     """The prefix partition of every window; see the module's text."""
-    mark = mixed(rows[:, 0] ^ mixed(rows[:, 1]))
-    deeper = np.isin(rows[:, 0], hot) & np.isin(rows[:, 1], hot)
-    for j in range(2, WIDTH):
-        deeper &= rows[:, j] != 0
-        mark = np.where(deeper, mixed(mark ^ mixed(rows[:, j])), mark)
-        deeper &= np.isin(rows[:, j], hot)
-    return (mark % np.uint64(partitions)).astype(np.int64)
+    mark = np.zeros(len(rows), np.uint64)
+    deeper = np.ones(len(rows), bool)
+    for j in range(task.width):
+        longer = mixed(mark ^ mixed(rows[:, j]))
+        if j < task.shortest:
+            mark = longer
+        else:
+            deeper &= rows[:, j] != 0
+            mark = np.where(deeper, longer, mark)
+        deeper &= np.isin(rows[:, j], task.hot)
+    return (mark % np.uint64(task.partitions)).astype(np.int64)
 
 
 def pack_run(rows: np.ndarray, counts: np.ndarray) -> bytes:
     """A sorted run as compressed columns."""
     batch = pa.RecordBatch.from_arrays(
         [pa.array(np.ascontiguousarray(c)) for c in (*rows.T, counts)],
-        names=[*map(str, range(WIDTH)), "n"],
+        names=[*map(str, range(rows.shape[1])), "n"],
     )
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -301,11 +341,11 @@ def pack_run(rows: np.ndarray, counts: np.ndarray) -> bytes:
 
 def unpack_run(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     run = pa.ipc.open_stream(data).read_all()
-    return np.column_stack([run[str(j)].to_numpy() for j in range(WIDTH)]), run["n"].to_numpy()
+    return np.column_stack([c.to_numpy() for c in run.columns[:-1]]), run["n"].to_numpy()
 
 
-def _runs(rows, counts, hot, partitions) -> Iterator[pa.RecordBatch]:
-    part = partition_of(rows, hot, partitions)
+def _runs(rows, counts, task: Counting) -> Iterator[pa.RecordBatch]:
+    part = partition_of(rows, task)
     order = np.argsort(part, kind="stable")
     part, rows, counts = part[order], rows[order], counts[order]
     starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
@@ -316,22 +356,21 @@ def _runs(rows, counts, hot, partitions) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _count_windows(
-    values: np.ndarray, frequent: np.ndarray, hot: np.ndarray, partitions: int, limits: Limits
-):
+def _count_windows(task: Counting):
+    limits = task.limits
     step, keep = max(1, limits.entries // 4), limits.entries // 2
 
     def run(batches):
-        trie = HatTrie(limits.burst)
+        trie = HatTrie(task.width, limits.burst)
         for batch in batches:
             languages = batch.column("lang").to_pylist()
-            words = Words(languages, batch.column("text"), values, limits.chunk_bytes)
-            windows = windows_of(words, frequent)
+            words = Words(languages, batch.column("text"), task.values, limits.chunk_bytes)
+            windows = windows_of(words, task)
             for s in range(0, len(windows), step):
                 trie.add(windows[s : s + step])
                 if trie.entries > limits.entries:
-                    yield from _runs(*trie.spill(keep), hot, partitions)
-        yield from _runs(*trie.spill(0), hot, partitions)
+                    yield from _runs(*trie.spill(keep), task)
+        yield from _runs(*trie.spill(0), task)
 
     return run
 
@@ -345,32 +384,34 @@ def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
     return rows[starts], np.add.reduceat(counts, starts)
 
 
-def phrase_counts(rows, counts, hot, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def phrase_counts(rows, counts, task: Counting) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(phrases, counts) of each length, from a partition's sorted windows: the sums
     over windows with the same beginning. A phrase of hot words only may have more
     of its windows elsewhere, so it is given whatever its count."""
     spread = np.ones(len(rows), bool)
     new = np.zeros(len(rows), bool)
     new[:1] = True
-    for depth in range(1, WIDTH + 1):
+    for depth in range(1, task.width + 1):
         column = rows[:, depth - 1]
         new[1:] |= column[1:] != column[:-1]
-        spread &= np.isin(column, hot)
-        if depth == 1:
+        spread &= np.isin(column, task.hot)
+        if depth < task.shortest:
             continue
         starts = np.flatnonzero(new)
         sums = np.add.reduceat(counts, starts)
-        wanted = (column[starts] != 0) & ((sums >= least) | (spread[starts] & (depth < WIDTH)))
+        wanted = (column[starts] != 0) & ((sums >= task.least) | (spread[starts] & (depth < task.width)))
         yield rows[starts[wanted], :depth], sums[wanted]
 
 
-def _merge(hot: np.ndarray, least: int):
+def _merge(task: Counting):
     def of_part(held):
-        for phrases, sums in phrase_counts(*merge_runs(held), hot, least):
+        for phrases, sums in phrase_counts(*merge_runs(held), task):
             offsets = np.arange(len(phrases) + 1, dtype=np.int32) * np.int32(phrases.shape[1])
             values = pa.array(np.ascontiguousarray(phrases).ravel().view(np.int64))
+            pair = pair_hash(phrases[:, 0], phrases[:, 1]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(sums)], names=["ids", "a"]
+                [pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(sums), pa.array(pair)],
+                names=["ids", "a", "pair"],
             )
 
     def run(batches):
@@ -388,35 +429,46 @@ def _merge(hot: np.ndarray, least: int):
     return run
 
 
-def frequent_bitmap(words: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Bits of the ids of words with `least` occurrences; at most `bits` / 64 cells
-    reach the driver, whatever the number of words."""
-    cell = F.pmod(F.shiftrightunsigned("id", 6), F.lit(bits // 64))
-    bit = F.expr("shiftleft(1L, int(id & 63))")
-    cells = words.filter(F.col("n") >= least).groupBy(cell.alias("cell")).agg(F.bit_or(bit).alias("bits"))
+def bitmap_of(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bits set for the hashes of a one-column table; at most `bits` / 64 cells reach
+    the driver, whatever the number of hashes."""
+    (name,) = hashes.columns
+    cell = F.pmod(F.shiftrightunsigned(name, 6), F.lit(bits // 64))
+    bit = F.expr(f"shiftleft(1L, int({name} & 63))")
+    cells = hashes.groupBy(cell.alias("cell")).agg(F.bit_or(bit).alias("bits")).toArrow()
     result = np.zeros(bits // 64, np.int64)
-    for r in cells.collect():
-        result[r["cell"]] = r["bits"]
+    result[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
     return result.view(np.uint64)
 
 
+def _counted(docs: DataFrame, task: Counting) -> DataFrame:
+    runs = docs.mapInArrow(_count_windows(task), "part int, run binary")
+    merged = (
+        runs.repartitionById(task.partitions, "part")
+        .sortWithinPartitions("part")
+        .mapInArrow(_merge(task), "ids array<long>, a long, pair long")
+    )
+    return merged.groupBy("ids").agg(F.sum("a").alias("a"), F.max("pair").alias("pair")).filter(
+        F.col("a") >= task.least
+    )
+
+
 def count_phrases(
     docs: DataFrame, words: DataFrame, values: np.ndarray, least: int, limits: Limits
 ) -> DataFrame:
     """(ids, a): all phrases of 2 to WIDTH words with at least `least` occurrences."""
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    often = max(limits.hot_count, total // limits.hot_words)
-    hot = np.array([r["id"] for r in words.filter(F.col("n") > often).select("id").collect()], np.int64)
-    hot, frequent = np.sort(hot.view(np.uint64)), frequent_bitmap(words, least, limits.bitmap_bits)
-    partitions = max(1, -(-total // limits.partition_windows))
-    count = _count_windows(values, frequent, hot, partitions, limits)
-    runs = docs.mapInArrow(count, "part int, run binary")
-    merged = (
-        runs.repartitionById(partitions, "part")
-        .sortWithinPartitions("part")
-        .mapInArrow(_merge(hot, least), "ids array<long>, a long")
+    often = words.filter(F.col("n") > total // limits.hot_words)
+    hot = np.sort(np.array([r["id"] for r in often.select("id").collect()], np.int64).view(np.uint64))
+    frequent = bitmap_of(words.filter(F.col("n") >= least).select("id"), limits.bitmap_bits)
+    task = Counting(
+        shortest=2, width=2, values=values, words=frequent, pairs=None, hot=hot,
+        partitions=max(1, -(-total // limits.partition_windows)), least=least, limits=limits,
     )
-    return merged.groupBy("ids").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+    pairs = materialize(_counted(docs, task), "pairs")
+    known = bitmap_of(pairs.select("pair"), limits.bitmap_bits)
+    longer = _counted(docs, replace(task, shortest=3, width=WIDTH, pairs=known))
+    return pairs.select("ids", "a").unionByName(longer.select("ids", "a"))
 
 
 def lowest_scores(phrases: DataFrame, words: DataFrame, sizes: DataFrame) -> DataFrame:
