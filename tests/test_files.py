@@ -1,5 +1,6 @@
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,8 @@ from weirflow.sources.catalog import (
     columnar_copy, create_database, create_view, external_parquet_table, external_text_table,
 )
 from weirflow.sources.files import (
-    in_listing_order, list_files, read_csv, read_day, read_json_arrays, read_lines_numbered,
+    data_files, in_listing_order, list_files, read_csv, read_day, read_json_arrays,
+    read_lines_numbered, staged_lines,
 )
 
 ZONES = 'LocationID,Borough,Zone,service_zone\n1,"EWR","Newark","EWR"\n2,"Queens","Bay, Far","bOrO"\n'
@@ -94,13 +96,68 @@ def test_day_scan_prunes_and_restores_partitions(spark, tmp_path):
         read_day(spark, lake, OCCUPANCY_LAKE, "04.02.2015")
 
 
-def test_inventory_keeps_empty_files(spark, tmp_path):
+def test_inventory_keeps_hidden_and_empty_files(spark, tmp_path):
     write(tmp_path / "t" / "a" / "empty.txt", "")
-    write(tmp_path / "t" / "b c+d" / "full.txt", "123")
-    listed = list_files(spark, str(tmp_path / "t"))
-    assert sorted(tuples(listed.select("relative_path", "length"))) == [
-        ("a/empty.txt", 0), ("b c+d/full.txt", 3),
-    ]
+    write(tmp_path / "t" / "b c+d" / "full %41é#?.txt", "123")
+    write(tmp_path / "t" / ".git" / "_objects" / ".pack", "12345")
+    write(tmp_path / "t" / "a" / ".empty.txt.crc", "checksum")
+    write(tmp_path / "t" / "a" / ".own.crc", "12")
+    (tmp_path / "t" / "none" / "below").mkdir(parents=True)
+    (tmp_path / "t" / "loop").symlink_to(tmp_path / "t")
+    for root in (str(tmp_path / "t"), f"file:{tmp_path}/t/"):
+        listed = list_files(spark, root)
+        assert sorted(tuples(listed.select("relative_path", "length"))) == [
+            (".git/_objects/.pack", 5), ("a/.own.crc", 2), ("a/empty.txt", 0),
+            ("b c+d/full %41é#?.txt", 3),
+        ]
+        assert listed.filter("modified IS NULL OR modified > now() + INTERVAL 1 DAY").count() == 0
+        assert {r[0] for r in tuples(listed.select("path"))} == {
+            f"{tmp_path}/t/{p}" for p in
+            (".git/_objects/.pack", "a/.own.crc", "a/empty.txt", "b c+d/full %41é#?.txt")
+        }
+        assert tuples(data_files(listed).select("name").orderBy("name")) == [
+            ("empty.txt",), ("full %41é#?.txt",),
+        ]
+
+
+def test_paths_of_lines_are_those_of_the_inventory(spark, tmp_path):
+    for name in ("b c+d %41é#/part-0000.csv", "x=1/part-0001.csv"):
+        write(tmp_path / "t" / name, "line\n")
+    lines = staged_lines(spark, str(tmp_path / "t")).select("path")
+    assert sorted(tuples(lines)) == sorted(tuples(list_files(spark, str(tmp_path / "t")).select("path")))
+
+
+def test_inventory_goes_down_level_by_level(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / f"d{i % 5}" / f"e{i}" / "f" / f"{i}.txt", "x" * i)
+    assert list_files(spark, str(tmp_path)).agg(F.sum("length")).first()[0] == sum(range(40))
+    assert list_files(spark, str(tmp_path), depth=3).count() == 0
+    assert list_files(spark, str(tmp_path), folders="^d[12]").count() == 16
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        list_files(spark, str(tmp_path / "missing"))
+
+
+def test_inventory_lists_a_folder_in_batches(spark, tmp_path):
+    from weirflow.sources import inventory
+
+    (tmp_path / "many").mkdir()
+    for i in range(25):
+        (tmp_path / "many" / f"{i}").touch()
+    before, inventory.BATCH_ENTRIES = inventory.BATCH_ENTRIES, 10
+    try:
+        batch = pa.RecordBatch.from_pydict({"parent": ["", "many", "gone"]})
+        found = list(inventory._list_folders(f"file:{tmp_path}")(iter([batch])))
+    finally:
+        inventory.BATCH_ENTRIES = before
+    assert [b.num_rows for b in found] == [10, 10, 6]
+
+
+def test_store_entries_through_arrow(tmp_path):
+    from weirflow.sources.inventory import _store_entries
+
+    write(tmp_path / "a" / "b.txt", "123")
+    (tmp_path / "a" / "c").mkdir()
+    assert sorted(e[:3] for e in _store_entries(f"file://{tmp_path}/a")) == [("b.txt", False, 3), ("c", True, 0)]
 
 
 def test_inventory_order(spark, tmp_path):

@@ -85,3 +85,10 @@ def test_no_query_joins_everything_with_everything(spark, sf):
     for name in ("popular_dims", "reconcile_counts", "number_rows", "nested_json_topk"):
         text = plan(QUERIES[name](spark, sf))
         assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_inventory_brings_no_name_through_the_plan(spark, sf):
+    """Only the manifest is scanned: no list of names as a literal or local table."""
+    text = plan(QUERIES["file_inventory"](spark, sf))
+    assert text.count("FileScan parquet") == 1 and "/manifest-" in text
+    assert not re.search("LocalTableScan|explode|OneRowRelation|Scan ExistingRDD", text)

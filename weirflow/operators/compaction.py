@@ -36,7 +36,7 @@ def place_files(files: DataFrame) -> DataFrame:
     )
     start = F.coalesce(F.sum("length").over(by_name), F.lit(0))
     return files.withColumn("start", start).filter(F.col("length") > 0).select(
-        F.col("url").alias("path"), "folder", "name", "start"
+        "path", "folder", "name", "start"
     )
 
 

@@ -13,7 +13,8 @@ from weirflow.sinks.files import save_csv, save_parquet
 from weirflow.sources.catalog import (
     columnar_copy, create_database, external_parquet_table, external_text_table,
 )
-from weirflow.sources.files import list_files, read_parquet
+from weirflow.sources.hadoop import copy_file
+from weirflow.sources.files import data_files, list_files, read_parquet
 from weirflow.workspace import new_path
 
 plans = Registry()
@@ -65,7 +66,7 @@ def parquet_overwrite(spark, sf):
     rows = as_metric_rows(summary_metrics(table(spark, sf, "lineitem"), "l_quantity"))
     for attempt in (rows.limit(1), rows):
         save_parquet(attempt, path, mode="overwrite", single_file=True)
-    files = list_files(spark, path).agg(F.count(F.lit(1)).cast("int").alias("num_files")).first()[0]
+    files = data_files(list_files(spark, path)).agg(F.count(F.lit(1)).cast("int").alias("num_files")).first()[0]
     return read_parquet(spark, path).select(
         "metric", F.round("value", 3).alias("value"), F.lit(files).alias("num_files")
     )
@@ -123,20 +124,35 @@ def compact_file_counts(spark, sf):
     """A compacted folder holds one file for each started target size."""
     stage, target = _stage_events(spark, sf), new_path(spark, "ods")
     compact_folders(spark, stage, target, part_pattern=_FINISHED, delete_sources=True)
-    return list_files(spark, target).groupBy(
+    return data_files(list_files(spark, target)).groupBy(
         F.substring_index("folder", "=", -1).alias("date")
     ).agg(F.count(F.lit(1)).cast("int").alias("num_files"))
 
 
 @plans.query(
     "file_inventory",
-    f"""SELECT 'root/date=' || strftime(ts, '%Y-%m-%d') AS folder,
-        CAST(sum(strlen({_EVENT_LINE}) + 1) AS BIGINT) AS num_bytes
-    FROM events GROUP BY 1 UNION ALL SELECT 'empty', 0""",
+    f"""SELECT 'root/date=' || strftime(ts, '%Y-%m-%d') || '/event_type=' || event_type AS folder,
+        CAST(count(DISTINCT name) AS INTEGER) AS num_names, CAST(sum(bytes) AS BIGINT) AS num_bytes
+    FROM (SELECT ts, event_type, 'lines' AS name, strlen({_EVENT_LINE}) + 1 AS bytes FROM events) e GROUP BY 1
+    UNION ALL SELECT 'root/.hidden/_lists', 1, CAST(sum(strlen(r_name) + 1) AS BIGINT) FROM region
+    UNION ALL SELECT 'root', 1, 0 UNION ALL SELECT 'empty', 2, 0""",
 )
 def file_inventory(spark, sf):
-    """Bytes per folder of a generated tree, from file listings alone."""
+    """Names and bytes per folder of a generated tree, from file listings alone:
+    data files three levels down, a hidden file in hidden folders, empty files and
+    the markers of finished jobs. All parts of a folder count as one name."""
     top = new_path(spark, "tree")
-    _dated_lines(spark, sf).drop("half").write.partitionBy("date").text(f"{top}/root")
+    lines = table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("date"), "event_type",
+        F.to_csv(F.struct("event_id", "user_id", "event_type", "props")).alias("value"),
+    )
+    lines.write.partitionBy("date", "event_type").text(f"{top}/root")
     spark.range(0).select(F.lit("").alias("value")).write.text(f"{top}/empty")
-    return list_files(spark, top).groupBy("folder").agg(F.sum("length").alias("num_bytes"))
+    names = table(spark, sf, "region").select(F.col("r_name").alias("value"))
+    hidden = new_path(spark, "names")
+    names.coalesce(1).write.text(hidden)
+    copy_file(spark, f"{hidden}/part-*", f"{top}/root/.hidden/_lists/.regions")
+    name = F.regexp_replace("name", "^part-.*", "part")
+    return list_files(spark, top).groupBy("folder").agg(
+        F.countDistinct(name).cast("int").alias("num_names"), F.sum("length").alias("num_bytes")
+    )

@@ -6,10 +6,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from weirflow.schemas import DAY_PARTITIONS
-from weirflow.sources.hadoop import absolute_name, indexed_files
+from weirflow.sources.hadoop import absolute_name
+from weirflow.sources.inventory import list_tree
 
 PathArg = str | Sequence[str]
 
@@ -68,45 +69,38 @@ def read_day(spark: SparkSession, root: str, schema: T.StructType, day: str) ->
     ).select(*full.fieldNames())
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(url, path, relative_path, folder, name, length, modified) of all files
-    below `root`; `url` is the form `_metadata.file_path` uses in other scans.
+def plain_path(url: Column) -> Column:
+    """The path in a file's address as Spark gives it, without scheme and host."""
+    # A plus sign stands for itself in a path, for a blank in url_decode.
+    path = F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
 
-    File contents are not read. A scan leaves empty files out, so the names
-    come from the file index and the sizes are joined to them; an empty file
-    has length 0 and no modification time. Names starting with a dot or an
-    underscore are invisible to Spark's file sources and so not listed.
+def list_files(
+    spark: SparkSession, root: str, *, depth: int | None = None, folders: str | None = None
+) -> DataFrame:
+    """(path, relative_path, folder, name, length, modified) of all files below
+    `root`, hidden and empty ones included; see `list_tree`. `path` has no scheme
+    or host. File contents are not read, and no name reaches the driver.
     """
-    scan = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(
-            F.col("_metadata.file_path").alias("url"),
-            "length",
-            F.col("modificationTime").alias("modified"),
-        )
-    )
     base = absolute_name(spark, root).rstrip("/") + "/"
-    # A plus sign stands for itself in a path, for a blank in url_decode.
-    path = F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B")))
-    absolute = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    relative = F.substring(absolute, F.lit(len(base) + 1), F.lit(2**31 - 1))
+    inner = F.concat(F.when(F.col("parent") == "", "").otherwise(F.concat("parent", F.lit("/"))), "name")
     return (
-        indexed_files(scan)
-        .join(scan, "url", "left")
+        list_tree(spark, root, depth=depth, folders=folders)
+        .filter(~F.col("is_folder"))
         .select(
-            "url",
-            path.alias("path"),
-            relative.alias("relative_path"),
-            F.regexp_replace(relative, "/?[^/]*$", "").alias("folder"),
-            F.regexp_extract(relative, "[^/]*$", 0).alias("name"),
-            F.coalesce("length", F.lit(0)).alias("length"),
-            "modified",
+            F.concat(F.lit(base), inner).alias("path"), inner.alias("relative_path"),
+            F.col("parent").alias("folder"), "name", "length", "modified",
         )
     )
 
 
+def data_files(files: DataFrame) -> DataFrame:
+    """The files of an inventory that Spark's file sources read: no part of the
+    path below the root starts with a dot or an underscore."""
+    return files.filter(~F.col("relative_path").rlike("(^|/)[._]"))
+
+
 def in_listing_order(files: DataFrame) -> DataFrame:
     """Files of a folder first, then each of its sub-folders, both by name."""
     parts = F.split("relative_path", "/")
@@ -124,7 +118,7 @@ def staged_files(
 ) -> DataFrame:
     """Inventory of the part files directly inside the matching folders of
     `root`; unfinished parts and stray folders do not match."""
-    return list_files(spark, root).filter(
+    return list_files(spark, root, depth=2, folders=folder_pattern).filter(
         F.col("folder").rlike(folder_pattern) & F.col("name").rlike(part_pattern)
     )
 
@@ -142,7 +136,7 @@ def staged_lines(spark: SparkSession, root: str, *, part_pattern: str = STAGE_PA
         .text(root)
         .filter(F.col("_metadata.file_name").rlike(part_pattern))
         .select(
-            F.col("_metadata.file_path").alias("path"),
+            plain_path(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("place"),
             "value",

@@ -3,7 +3,7 @@ renaming and deleting. They touch names only, never file contents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -14,24 +14,23 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified_name(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and host, made absolute; special characters stand
+    as they are."""
+    return filesystem(spark, path).makeQualified(hadoop_path(spark, path)).toString()
+
+
 def absolute_name(spark: SparkSession, path: str) -> str:
     """The path without scheme and host, made absolute."""
     qualified = filesystem(spark, path).makeQualified(hadoop_path(spark, path))
     return qualified.toUri().getPath()
 
 
-def indexed_files(scan: DataFrame) -> DataFrame:
-    """(url): the files in the index of a file scan, empty ones included.
-
-    The driver's JVM holds this index for every file scan. The names become an
-    array literal there, without passing through Python, and are dealt out to
-    the tasks that read them.
-    """
-    spark = scan.sparkSession
-    functions = spark._jvm.org.apache.spark.sql.functions
-    names = functions.explode(functions.lit(scan._jdf.inputFiles()))
-    listed = DataFrame(spark.range(1)._jdf.withColumn("value", names), spark).select("value")
-    # Scans write an empty host as scheme:/path, the index as scheme:///path.
-    return listed.repartition(spark.sparkContext.defaultParallelism).select(
-        F.regexp_replace("value", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("url")
+def copy_file(spark: SparkSession, pattern: str, target: str) -> None:
+    """Copy the one file that matches the pattern."""
+    source = hadoop_path(spark, pattern)
+    (found,) = filesystem(spark, pattern).globStatus(source)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        filesystem(spark, pattern), found.getPath(), filesystem(spark, target),
+        hadoop_path(spark, target), False, spark._jsc.hadoopConfiguration(),
     )
