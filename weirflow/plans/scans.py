@@ -11,9 +11,12 @@ from weirflow.functions.parsing import (
 from weirflow.operators.documents import rows_per_document
 from weirflow.plans.registry import Registry, table
 from weirflow.schemas import COUNTRIES, struct_of
-from weirflow.sinks.files import save_by_partition, save_csv, save_json_array
+from weirflow.sinks.files import (
+    save_by_partition, save_csv, save_json_array, save_json_document,
+)
 from weirflow.sinks.messages import as_messages
 from weirflow.sources.files import read_csv, read_day, read_json_arrays, read_lines_numbered
+from weirflow.sources.records import read_csv_quoted_lines, read_json_array_split
 from weirflow.workspace import new_path
 
 plans = Registry()
@@ -221,3 +224,40 @@ def numbered_lines(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     save_csv(events.orderBy("event_id"), path)
     return read_lines_numbered(spark, path)
+
+
+@plans.query("json_array_split_scan", "SELECT * FROM customer")
+def json_array_split_scan(spark, sf):
+    """All customers as one JSON array, cut at its top-level commas by the tasks that
+    read it. A column and a nested one hold what the scan must not cut at."""
+    customer = table(spark, sf, "customer")
+    path = new_path(spark, "customer-array")
+    odd = F.concat(F.lit('],{"\\"['), "c_name", F.lit("\n,}]"))
+    rows = customer.withColumns({"odd": odd, "nested": F.array(F.struct("c_nationkey", "c_name"))})
+    save_json_document(rows, path)
+    back = read_json_array_split(spark, path, rows.schema, parts=True)
+    intact = (F.col("odd") == odd) & (F.col("nested")[0]["c_name"] == F.col("c_name"))
+    return back.filter(intact).select(*customer.columns)
+
+
+@plans.query(
+    "json_document_parts",
+    """SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders""",
+)
+def json_document_parts(spark, sf):
+    """Orders as one JSON array in ordered parts, whatever its size, read back."""
+    path = new_path(spark, "orders-document")
+    orders = table(spark, sf, "orders")
+    rows = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    save_json_document(rows, path, order=[F.asc("o_orderkey")])
+    return read_json_array_split(spark, path, rows.schema, parts=True)
+
+
+@plans.query("csv_quoted_lines_scan", "SELECT * FROM documents")
+def csv_quoted_lines_scan(spark, sf):
+    """Documents as delimited text; their texts hold line ends, commas and quotes."""
+    documents, path = table(spark, sf, "documents"), new_path(spark, "documents-csv")
+    documents.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return read_csv_quoted_lines(spark, path, documents.schema, strict=True)

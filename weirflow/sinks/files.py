@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from weirflow.operators.documents import pack_json_arrays
+from weirflow.workspace import materialize
 
 
 def save_parquet(
@@ -46,3 +47,30 @@ def save_json_array(
     documents.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
     if not seen.get["n"]:
         df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode("append").text(path)
+
+
+def save_json_document(
+    df: DataFrame, path: str, *, order: Sequence[Column] = (), mode: str = "overwrite"
+) -> None:
+    """Write one JSON array of any size as ordered part files: their concatenation
+    in the order of their names is the document, and `read_json_array_split` reads
+    the folder as one with `parts=True`.
+
+    Every row is a line that begins with a comma, the first with the opening
+    bracket; the last line closes. Rows come in the given order, or as the table has
+    them. No task holds more than its rows, and only the number of the first row
+    reaches the driver. An empty table becomes `[]`. Part files sort by name up to
+    100,000 of them.
+    """
+    rows = df.orderBy(*order) if order else df
+    line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    lines = materialize(rows.select(line, F.monotonically_increasing_id().alias("mark")), "lines")
+    first = lines.agg(F.min("mark")).first()[0]
+    opening = F.when(F.col("mark") == F.lit(first), "[").otherwise(",")
+    closing = df.sparkSession.range(1).select(
+        F.lit("[]" if first is None else "]").alias("value"), F.lit(2**63 - 1).alias("mark")
+    )
+    (
+        lines.select(F.concat(opening, "value").alias("value"), "mark")
+        .unionByName(closing).orderBy("mark").select("value").write.mode(mode).text(path)
+    )
