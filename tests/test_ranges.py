@@ -1,0 +1,125 @@
+"""Equal-count chunks and range-indexed tables against plain sorting."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import shuffled_records, tuples
+from weirflow.operators.chunks import key_chunks, place_among
+from weirflow.sources.rangetable import RANGE, read_index, read_key_range, write_range_table
+
+
+def order(value):
+    return (value is not None, value)
+
+
+def plain_chunks(rows, size):
+    rows = sorted(rows, key=lambda r: tuple(map(order, r)))
+    n, chunks = len(rows), -(-len(rows) // size)
+    cuts = [c * n // chunks for c in range(chunks + 1)] if chunks else [0]
+    return [(c, *rows[a], *rows[b - 1], b - a) for c, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+
+
+def chunks_of(spark, rows, size, schema="k long, t long", ranges=8):
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    return sorted(tuples(key_chunks(df, key="k", tie="t", size=size, ranges=ranges)))
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 1000])
+def test_chunks_are_equal(spark, size):
+    rng = random.Random(size)
+    rows = [(rng.choice([None, 7, 7, 7, rng.randint(-50, 50)]), i) for i in range(500)]
+    got = chunks_of(spark, rows, size)
+    assert got == plain_chunks(rows, size)
+    assert max(r[5] for r in got) - min(r[5] for r in got) <= 1 and max(r[5] for r in got) <= size
+
+
+def test_chunks_of_other_types(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["é", "b", "", "z\U0001f600"]), rng.random()) for _ in range(200)]
+    got = chunks_of(spark, rows, 30, "k string, t double")
+    assert got == sorted(plain_chunks([(k.encode(), t) for k, t in rows], 30), key=lambda r: r[0]) or [
+        (c, a.encode(), x, b.encode(), y, n) for c, a, x, b, y, n in got
+    ] == plain_chunks([(k.encode(), t) for k, t in rows], 30)
+
+
+def test_chunks_where_rows_are_alike(spark):
+    rows = [(1, 1)] * 300 + [(2, i) for i in range(50)]
+    assert chunks_of(spark, rows, 40) == plain_chunks(rows, 40)
+    assert chunks_of(spark, [], 40) == []
+    with pytest.raises(ValueError):
+        chunks_of(spark, rows, 0)
+
+
+def test_only_ranges_with_bounds_are_shuffled(spark):
+    rows = spark.range(0, 40_000, 1, 4).select(F.col("id").alias("k"), F.col("id").alias("t"))
+    df = key_chunks(rows, key="k", tie="t", size=20_000, ranges=256)
+    assert sorted(tuples(df)) == [(0, 0, 0, 19_999, 19_999, 20_000), (1, 20_000, 20_000, 39_999, 39_999, 20_000)]
+    # Of 256 ranges or so, the three that hold a bound.
+    assert max(shuffled_records(df)) < 40_000 / 20
+
+
+@pytest.mark.parametrize("cuts", [[], [4], [1, 3, 3, 3, 9], [0, 2, 4, 6, 8, 10, 12, 14, 16]])
+def test_binary_search(spark, cuts):
+    array = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    got = tuples(spark.range(-1, 18).select("id", place_among(F.col("id"), array, len(cuts))))
+    assert got == [(v, sum(c <= v for c in cuts)) for v in range(-1, 18)]
+
+
+@pytest.fixture(scope="module")
+def ranged(spark, tmp_path_factory):
+    rng = random.Random(1)
+    rows = [(rng.choice([5, 5, None, rng.randint(-100, 100)]), i, f"row {i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, t long, `high` string").repartition(4)
+    path = str(tmp_path_factory.mktemp("ranged") / "table")
+    write_range_table(df, path, key="k", tie="t", rows_per_range=150)
+    return path, rows
+
+
+def test_index_covers_all_rows(spark, ranged):
+    path, rows = ranged
+    index = sorted(tuples(read_index(spark, path)))
+    assert index[0][:3] == (-1, None, None) and index[0][3] == sum(k is None for k, *_ in rows)
+    known = index[1:]
+    assert [r[2] for r in known] == [r[1] for r in known[1:]] + [None]
+    for n, low, high, size in known:
+        assert size == sum(k is not None and low <= k and (high is None or k < high) for k, *_ in rows)
+    hot = [r for r in known if r[1] == 5]
+    assert hot[0][3] == sum(k == 5 for k, *_ in rows) > 150
+    assert max(r[3] for r in known if r[1] != 5) <= 300
+
+
+@pytest.mark.parametrize("low, high, nulls", [
+    (None, None, False), (None, None, True), (5, 5, False), (-20, 4, False), (6, None, True), (None, -101, False),
+    (200, None, True),
+])
+def test_closed_ranges(spark, ranged, low, high, nulls):
+    path, rows = ranged
+    got = read_key_range(spark, path, low, high, nulls=nulls)
+    assert got.columns == ["k", "t", "high"]
+    want = [r for r in rows if (nulls if r[0] is None else
+                                (low is None or r[0] >= low) and (high is None or r[0] <= high))]
+    assert sorted(tuples(got), key=lambda r: r[1]) == sorted(want, key=lambda r: r[1])
+
+
+def test_only_the_folders_of_the_range_are_read(spark, ranged):
+    path, _ = ranged
+    index = {r[RANGE]: r for r in read_index(spark, path).collect()}
+    got = read_key_range(spark, path, 10, 20)
+    folders = {int(f.split(f"{RANGE}=")[1].split("/")[0]) for f in got.inputFiles()}
+    assert folders == {n for n, r in index.items()
+                       if n >= 0 and r["low"] <= 20 and (r["high"] is None or r["high"] > 10)}
+    assert len(folders) < len(index) / 2
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,10)" in plan and "LessThanOrEqual(k,20)" in plan
+
+
+def test_empty_tables_and_tables_without_keys(spark, tmp_path):
+    for name, rows in (("none", []), ("nulls", [(None, 1), (None, 2)])):
+        path = str(tmp_path / name)
+        write_range_table(spark.createDataFrame(rows, "k double, t int"), path, key="k", tie="t", rows_per_range=10)
+        assert read_key_range(spark, path).count() == 0
+        assert read_key_range(spark, path, 1.0, nulls=True).count() == len(rows)
+    with pytest.raises(ValueError):
+        write_range_table(spark.range(3).withColumnRenamed("id", RANGE), path, key=RANGE, tie=RANGE, rows_per_range=1)

@@ -4,7 +4,7 @@ hot group is spread over tasks or shrunk before it is shuffled."""
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import tuples
+from helpers import shuffled_records, tuples
 from weirflow.operators.popularity import rank_by_popularity
 from weirflow.operators.ranking import number_rows, tail_per_partition
 from weirflow.sinks.files import save_by_partition
@@ -18,26 +18,6 @@ def facts(spark):
     return spark.range(0, ROWS, 1, 6).select("id", key.alias("key"))
 
 
-def shuffled_records(df):
-    """Records written by each exchange of an executed plan, smallest first."""
-    df.collect()
-    found = []
-
-    def visit(node):
-        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
-            found.append(node.metrics().apply("shuffleRecordsWritten").value())
-        children = node.children()
-        for i in range(children.size()):
-            visit(children.apply(i))
-        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
-            visit(node.executedPlan())
-        if hasattr(node, "plan") and node.getClass().getSimpleName().endswith("StageExec"):
-            visit(node.plan())
-
-    visit(df._jdf.queryExecution().executedPlan())
-    return sorted(found)
-
-
 def test_popularity_shuffles_counts_not_facts(spark, facts):
     dims = facts.select("key").distinct().withColumn("name", F.concat(F.lit("k"), "key"))
     ranked = rank_by_popularity(

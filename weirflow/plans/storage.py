@@ -13,7 +13,9 @@ from weirflow.sinks.files import save_csv, save_parquet
 from weirflow.sources.catalog import (
     columnar_copy, create_database, external_parquet_table, external_text_table,
 )
+from weirflow.operators.chunks import key_chunks
 from weirflow.sources.hadoop import copy_file
+from weirflow.sources.rangetable import read_key_range, write_range_table
 from weirflow.sources.files import data_files, list_files, read_parquet
 from weirflow.workspace import new_path
 
@@ -156,3 +158,44 @@ def file_inventory(spark, sf):
     return list_files(spark, top).groupBy("folder").agg(
         F.countDistinct(name).cast("int").alias("num_names"), F.sum("length").alias("num_bytes")
     )
+
+
+_CHUNK_ROWS = 700
+
+
+@plans.query(
+    "key_chunks",
+    f"""WITH ranked AS (
+        SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS place,
+            count(*) OVER () AS n FROM orders),
+    sized AS (SELECT *, CAST(ceil(n / {_CHUNK_ROWS}.0) AS BIGINT) AS chunks FROM ranked),
+    placed AS (SELECT *, ((place + 1) * chunks + n - 1) // n - 1 AS chunk FROM sized)
+    SELECT CAST(chunk AS INTEGER) AS chunk, arg_min(o_custkey, place) AS first_key,
+        arg_min(o_orderkey, place) AS first_tie, arg_max(o_custkey, place) AS last_key,
+        arg_max(o_orderkey, place) AS last_tie, count(*) AS num_rows
+    FROM placed GROUP BY chunk""",
+)
+def equal_chunks(spark, sf):
+    """Orders by customer in chunks of equal size, ties by order."""
+    return key_chunks(table(spark, sf, "orders"), key="o_custkey", tie="o_orderkey", size=_CHUNK_ROWS)
+
+
+_RANGED = """SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 40 WHEN c_custkey % 11 = 0 THEN NULL
+    ELSE c_custkey END AS part_key FROM customer"""
+
+
+@plans.query(
+    "range_index_scan",
+    f"""SELECT * REPLACE (coalesce(part_key, -1) AS part_key) FROM ({_RANGED}) c
+    WHERE part_key BETWEEN 20 AND 500 OR part_key IS NULL""",
+)
+def range_index_scan(spark, sf):
+    """A closed range of a table kept by key ranges, with the rows that have no key.
+    A third of the rows have one key."""
+    path = new_path(spark, "ranges")
+    rows = table(spark, sf, "customer").withColumn(
+        "part_key", F.when(F.col("c_custkey") % 3 == 0, 40).when(F.col("c_custkey") % 11 != 0, F.col("c_custkey"))
+    )
+    write_range_table(rows, path, key="part_key", tie="c_custkey", rows_per_range=100)
+    found = read_key_range(spark, path, 20, 500, nulls=True)
+    return found.withColumn("part_key", F.coalesce("part_key", F.lit(-1)))
