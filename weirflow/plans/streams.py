@@ -17,6 +17,7 @@ from weirflow.plans.registry import Registry, table
 from weirflow.plans.scans import EVENT_LAKE, SENSOR_LINE, event_lines
 from weirflow.schemas import DAY_PARTITIONS, struct_of
 from weirflow.sinks.messages import as_messages, publish
+from weirflow.sources.offsets import index_offsets
 from weirflow.sources.messages import (
     MessageFolder, Reading, read_messages, read_tail, stream_messages,
 )
@@ -166,17 +167,19 @@ def stream_foreach_batch(spark, sf):
     WHERE n <= 5""",
 )
 def message_tail(spark, sf):
-    """The last five messages of every topic partition, to which users are dealt."""
+    """The last five messages of every topic partition, to which users are dealt.
+    The topic is sent in four parts; an index of its offsets tells which of its
+    files to open."""
     topic = _topic(spark, "tail")
-    publish(
-        table(spark, sf, "events").select(
-            F.col("event_id").cast("string").alias("value"),
-            F.lit("events").alias("topic"),
-            F.pmod("user_id", F.lit(TAIL_PARTITIONS)).cast("int").alias("partition"),
-            F.col("event_id").alias("offset"),
-        ),
-        topic,
+    events = table(spark, sf, "events")
+    messages = events.select(
+        F.col("event_id").cast("string").alias("value"),
+        F.lit("events").alias("topic"),
+        F.pmod("user_id", F.lit(TAIL_PARTITIONS)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
     )
+    publish(messages.repartitionByRange(4, "offset"), topic)
+    index_offsets(spark, topic.path)
     return read_tail(spark, topic, 5).select(
         F.col("partition").cast("long").alias("partition"),
         F.col("value").cast("string").cast("long").alias("event_id"),

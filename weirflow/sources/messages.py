@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weirflow.operators.ranking import tail_per_partition
 from weirflow.schemas import MESSAGES
+from weirflow.sources.offsets import tail_files
 
 
 @dataclass(frozen=True)
@@ -127,14 +128,21 @@ def client_settings(topic: KafkaTopic) -> dict[str, str]:
 def read_tail(spark: SparkSession, topic: Topic, n: int = 5) -> DataFrame:
     """The last n messages of every partition as of the call.
 
-    From Kafka exactly those offsets are fetched; a folder keeps n rows per
-    partition and task before it shuffles.
+    From Kafka exactly those offsets are fetched. Of a folder whose files are all
+    indexed (`index_offsets`) only the files that can hold such a message are read,
+    at most n for each partition where files don't overlap; else all are. Messages
+    without an offset come last. n rows per partition and task are kept before the
+    shuffle.
     """
     if isinstance(topic, KafkaTopic):
         ends = latest_offsets(spark, topic)
         return read_messages(
             spark, topic, starting_offsets=tail_offsets(ends, n), ending_offsets=ends
         )
+    names = tail_files(spark, topic.path, n)
+    messages = read_messages(spark, topic)
+    if names:
+        messages = spark.read.schema(MESSAGES).parquet(*[f"{topic.path.rstrip('/')}/{x}" for x in names])
     return tail_per_partition(
-        read_messages(spark, topic), partition=["topic", "partition"], position="offset", n=n
+        messages, partition=["topic", "partition"], position="offset", n=n
     ).drop("num_from_end")
