@@ -22,8 +22,11 @@ from weirflow.sources.messages import (
     MessageFolder, Reading, read_messages, read_tail, stream_messages,
 )
 from weirflow.streaming.common import run_until_stopped
+from weirflow.streaming.commits import committed_rows, committing
 from weirflow.streaming.landing import land, measurements, predictions
-from weirflow.streaming.microbatch import batch_folder_sink, for_each_batch, message_sink
+from weirflow.streaming.microbatch import (
+    batch_folder_sink, both_outputs, for_each_batch, message_sink,
+)
 from weirflow.streaming.scoring import score_json_messages, scoring_sink
 from weirflow.workspace import new_path
 
@@ -186,6 +189,33 @@ def message_tail(spark, sf):
     )
 
 
+@plans.query(
+    "stream_committed_outputs",
+    """SELECT event_type, CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS INTEGER) AS usable,
+        count(*) AS num_messages FROM events GROUP BY 1, 2""",
+)
+def stream_committed_outputs(spark, sf):
+    """Usable and unusable messages of several micro-batches in two outputs, read
+    through the manifest that shows both parts of a batch at once."""
+    events = table(spark, sf, "events")
+    topic = _send(spark, "committed-in", events.select(
+        "event_type", event_lines(events).alias("value")).repartition(3, "event_type", "value"))
+    good, bad, manifest = (new_path(spark, n) for n in ("good", "bad", "commits"))
+    sink = both_outputs(
+        lambda batch: measurements(batch, SENSOR_LINE), batch_folder_sink(good), batch_folder_sink(bad)
+    )
+    messages = stream_messages(spark, topic, Reading(max_per_trigger=1))
+    run_until_stopped(for_each_batch(
+        messages, committing(sink, manifest), new_path(spark, "checkpoint"), available_now=True
+    ))
+    kind = F.split("raw_message", ",")[3].alias("event_type")
+    usable = committed_rows(spark.read.parquet(good), manifest).select("event_type", F.lit(1).alias("usable"))
+    broken = committed_rows(spark.read.parquet(bad), manifest).select(kind, F.lit(0).alias("usable"))
+    return usable.unionByName(broken).groupBy("event_type", "usable").agg(
+        F.count(F.lit(1)).alias("num_messages")
+    )
+
+
 _USABLE = "l_linenumber <> 1"
 
 
