@@ -27,6 +27,7 @@ from weirflow.streaming.landing import land, measurements, predictions
 from weirflow.streaming.microbatch import (
     batch_folder_sink, both_outputs, for_each_batch, message_sink,
 )
+from weirflow.streaming.rowsends import folder_outbox, send_rows
 from weirflow.streaming.scoring import score_json_messages, scoring_sink
 from weirflow.workspace import new_path
 
@@ -216,6 +217,22 @@ def stream_committed_outputs(spark, sf):
     )
 
 
+@plans.query("stream_foreach_rows", "SELECT event_id, user_id, event_type, value FROM events")
+def stream_foreach_rows(spark, sf):
+    """Events sent row by row from the executors, three micro-batches of them, as
+    an outside system has them afterwards."""
+    topic, outbox = _topic(spark, "rows-in"), new_path(spark, "outbox")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    publish(as_messages(events.repartition(3, "event_id")), topic)
+    rows = parse_json_messages(
+        stream_messages(spark, topic, Reading(max_per_trigger=1)), events.schema
+    ).select(*events.columns)
+    run_until_stopped(send_rows(
+        rows, folder_outbox(spark, outbox), new_path(spark, "checkpoint"), available_now=True
+    ))
+    return spark.read.schema(events.schema).json(outbox)
+
+
 _USABLE = "l_linenumber <> 1"
 
 
