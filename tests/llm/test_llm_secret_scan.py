@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import math
 import re
@@ -96,6 +97,17 @@ def test_secrets_with_few_digits_and_beside_allowed_words(spark):
     assert found[texts[-2]] == [] == found[texts[-1]]
 
 
+def test_only_whole_digests_are_exempt(spark):
+    digests = [
+        name + base64.b64encode(hashlib.new(name[:-1], b"file").digest()).decode()
+        for name in ("sha256-", "sha384-", "sha512-")
+    ]
+    hidden = ["sha256-x_q8Zr3T9vLm2Kp7Wd4Yb6", digests[0] + "q8Zr3T9vLm2Kp7Wd4Yb6", digests[2][:-2]]
+    df = spark.createDataFrame([(t,) for t in digests + hidden], "text string")
+    found = {r["text"]: r["f"] for r in df.select("text", s.candidate_spans(F.col("text")).alias("f")).collect()}
+    assert [bool(found[t]) for t in digests + hidden] == [False] * 3 + [True] * 3
+
+
 def test_query(spark, sf, documents):
     texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
     got = all_queries()["op3_secrets"](spark, sf)

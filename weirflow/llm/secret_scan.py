@@ -44,7 +44,7 @@ ALLOWED_WORDS = r"(?i)(example|placeholder|changeme|dummy|sample|xxxx)"
 #: words only the letters and digits around one, up to the next separator.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^sha(256|384|512)-",
+    r"^sha(256-[A-Za-z0-9+/]{43}=|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}==)$",
     ALLOWED_WORDS,
 )
 ALLOWED_PART = rf"(?<![A-Za-z0-9])[A-Za-z0-9]*{ALLOWED_WORDS}[A-Za-z0-9]*"
