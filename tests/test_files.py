@@ -2,7 +2,7 @@ import json
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from helpers import tuples
 from weirflow.operators.compaction import compact_folders
@@ -310,3 +310,71 @@ def test_numbered_lines_over_many_splits(spark, tmp_path, tiny_splits):
 def test_compaction_refuses_to_write_in_place(spark, stage):
     with pytest.raises(ValueError):
         compact_folders(spark, str(stage), f"file:{stage}/")
+
+
+def test_compaction_joins_any_bytes(spark, tmp_path):
+    root, parts = tmp_path / "stage", [bytes([n, 0, 10, 255]) * 500 for n in range(5)]
+    for n, part in enumerate(parts):
+        (root / "date=2021-01-01").mkdir(parents=True, exist_ok=True)
+        (root / "date=2021-01-01" / f"part-{n:04d}.csv").write_bytes(part)
+    compact_folders(spark, str(root), str(tmp_path / "ods"), target_file_bytes=3_000, lines=False)
+    made = sorted((tmp_path / "ods" / "date=2021-01-01").iterdir())
+    assert b"".join(p.read_bytes() for p in made) == b"".join(parts)
+    assert [p.stat().st_size for p in made] == [2_500] * 4
+    assert [p.name for p in (tmp_path / "ods").iterdir()] == ["date=2021-01-01"]
+
+
+def test_compaction_cuts_at_lines_of_any_length(spark, tmp_path):
+    root = tmp_path / "stage"
+    text = "".join("x" * n + "\n" for n in (0, 5000, 1, 0, 40, 3000, 7)) + "é" * 900
+    write(root / "date=2021-01-01" / "part-0000.csv", text)
+    write(root / "date=2021-01-01" / "part-0001.csv", "last")
+    assert compact_folders(spark, str(root), str(tmp_path / "ods"), target_file_bytes=100) == 9
+    made = sorted((tmp_path / "ods" / "date=2021-01-01").iterdir())
+    texts = [p.read_text() for p in made]
+    assert "".join(texts) == f"{text}\nlast\n"
+    assert all(t.endswith("\n") for t in texts)
+
+
+def test_compaction_plans_from_lengths(spark, stage):
+    from weirflow.operators.compaction import plan_copies, plan_pieces
+    from weirflow.sources.files import staged_files
+
+    files = staged_files(spark, str(stage))
+    ranges = plan_copies(files, plan_pieces(files, 4)).orderBy("output", "start")
+    got = [r for r in tuples(ranges.select("folder", "piece", "begin", "end", "start")) if "12-03" in r[0]]
+    # 10, 5 and 1 bytes in pieces of 4.
+    assert [(p, s + b, s + e) for _, p, b, e, s in got] == [
+        (0, 0, 4), (1, 4, 8), (2, 8, 10), (2, 10, 12), (3, 12, 15), (3, 15, 16),
+    ]
+
+
+def test_compaction_keeps_the_target_when_a_part_changes(spark, stage, tmp_path, monkeypatch):
+    from weirflow.operators import compaction
+
+    target = tmp_path / "ods"
+    compact_folders(spark, str(stage), str(target))
+    before, plan = texts_below(target), compaction.plan_copies
+
+    def shrink(files, pieces):
+        write(stage / "date=2020-12-03" / "part-0000.csv", "a")
+        return plan(files, pieces)
+
+    monkeypatch.setattr(compaction, "plan_copies", shrink)
+    with pytest.raises(Exception):
+        compact_folders(spark, str(stage), str(target), delete_sources=True)
+    assert texts_below(target) == before and (stage / "date=2020-12-05" / "part-0007.csv").exists()
+
+
+def test_a_day_is_read_without_its_neighbours(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    lake = tmp_path / "lake"
+    write(lake / "year=2021" / "month=3" / "day=5" / "batch-0" / "x.json", '{"a": 1}\n')
+    write(lake / "year=2021" / "month=03" / "day=05" / "y.json", '{"a": 2}\n')
+    write(lake / "year=2021" / "month=3" / "day=6" / "z.json", '{"a": 3}\n')
+    write(lake / "year=2021" / "month=3" / "day=5" / "x.json", '{"a": 4}\n')
+    got = read_day(spark, str(lake), schema, "2021-03-05")
+    assert sorted(tuples(got)) == [(1, 2021, 3, 5), (2, 2021, 3, 5), (4, 2021, 3, 5)]
+    assert all("day=6" not in f for f in got.inputFiles())
+    none = read_day(spark, str(lake), schema, "2021-03-07")
+    assert none.columns == got.columns and none.count() == 0

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from weirflow.schemas import DAY_PARTITIONS
-from weirflow.sources.hadoop import absolute_name
+from weirflow.sources.hadoop import absolute_name, filesystem, hadoop_path
 from weirflow.sources.inventory import list_tree
 
 PathArg = str | Sequence[str]
@@ -56,13 +56,18 @@ def read_json_arrays(
 def read_day(spark: SparkSession, root: str, schema: T.StructType, day: str) -> DataFrame:
     """One day of a JSON lake laid out as year=/month=/day= folders.
 
-    The scan goes through the lake's root: year, month and day come back as
-    columns, other days are pruned by partition. Folders below a day, such as
-    those of micro-batches, are read with it.
+    Only the day's folder is listed, however many others the lake has; year, month
+    and day come back as columns. Folders below a day, such as those of
+    micro-batches, are read with it. A day without a folder has no rows.
     """
     wanted = date.fromisoformat(day)
     full = T.StructType(schema.fields + DAY_PARTITIONS.fields)
-    return spark.read.schema(full).json(root).filter(
+    # A number may be written with a leading zero.
+    month, number = (f"{{{n},{n:02d}}}" if n < 10 else str(n) for n in (wanted.month, wanted.day))
+    folder = f"{root.rstrip('/')}/year={wanted.year}/month={month}/day={number}"
+    if not filesystem(spark, root).globStatus(hadoop_path(spark, folder)):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", root).json(folder).filter(
         (F.col("year") == wanted.year)
         & (F.col("month") == wanted.month)
         & (F.col("day") == wanted.day)
