@@ -105,3 +105,34 @@ def test_cache_is_bounded(monkeypatch, tokenizer):
         own.forget_long()
         (words,) = own.learn([text])
         assert own.ids(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_sequences_are_rebuilt_without_a_tokenizer(spark, tokenizer, monkeypatch):
+    docs = odd_documents(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    stream = lambda pieces: b"".join(bytes(r["ids"]) for r in pieces)
+    for rows_sent in (p.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(p, "BROADCAST_ROWS", rows_sent)
+        packed = p.pack_documents(docs).collect()
+        assert all(len(r["ids"]) == 4 * r["length"] for r in packed)
+        sequences = {}
+        for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+            sequences[r["sequence_id"]] = sequences.get(r["sequence_id"], b"") + bytes(r["ids"])
+            assert len(sequences[r["sequence_id"]]) == 4 * (r["offset"] + r["length"])
+        long = sorted((r for r in packed if r["doc_id"] == 8), key=lambda r: r["piece"])
+        (text,) = [t for d, t in rows if d == 8]
+        assert np.frombuffer(stream(long), "<u4").tolist() == [
+            *tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_lower_case_and_set_off_marks_change_no_id(tokenizer):
+    own = p.WordTokenizer(None)
+    rnd = random.Random(4)
+    signs = list("aZéÉßø09½²ªº.,!?'\"-_()<>|/ \t\n\xa0¿«»€ŉǅİ") + [
+        "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "n't", "Word", "e\u0301", "...", "\x1c"]
+    for _ in range(3000):
+        text = "".join(rnd.choices(signs, k=rnd.randint(0, 25)))
+        if rnd.random() < 0.7:
+            text = text.replace("İ", "").replace("e\u0301", "").replace("<|", "")
+        (words,) = own.learn([text])
+        assert own.ids(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text

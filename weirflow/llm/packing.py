@@ -17,7 +17,7 @@ no length, however frequent, is gathered in one place.
 
 from __future__ import annotations
 
-import zlib
+import re
 from bisect import bisect_left, insort
 from collections import Counter
 from dataclasses import dataclass
@@ -39,18 +39,26 @@ CACHED_WORDS = 400_000
 CACHED_CHARS = 48
 
 #: Separators that Python's split() knows but the tokenizer doesn't.
-_OTHER_SPACE = {"\x1c", "\x1d", "\x1e", "\x1f"}
+_OTHER_SPACE = re.compile("[\x1c-\x1f]")
 #: Characters of which a run behind letters is a piece of its own.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Letters below this are letters to Python and the tokenizer alike.
 _LATIN_END = "\u0250"
 _WORD_END = "</w>"
+#: Beyond those letters, or longer in lower case.
+_UNLIKE = re.compile(f"[{_LATIN_END}-\U0010ffff\u0130]")
+#: Marks behind a letter or digit at the end of a word of a lower-case text.
+_TAIL = re.compile(r"[!-/:-@\[-`{-~](?<=[0-9a-zß-öø-ɏ][!-/:-@\[-`{-~])[!-/:-@\[-`{-~]*(?!\S)")
+#: (length, task) counts up to which they are sent to all tasks: about 10 MB.
+BROADCAST_ROWS = 400_000
 
 
 class WordTokenizer:
     """Ids by a tokenizer that never joins characters across white space, nor
     letters to the marks behind them.
 
+    Texts of Latin letters are put in lower case and the marks at the ends of their
+    words set apart first, which changes no id and leaves far fewer different words.
     Every word is encoded once and remembered. New words of Latin letters are
     encoded together: each is one piece, and the ids are cut behind those that
     end a piece. All others are encoded one by one.
@@ -74,35 +82,53 @@ class WordTokenizer:
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(_WORD_END)
                               for i in range(size)])
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.lower() for token in added]
         self.words: dict[str, bytes] = {}
         self.letters: dict[str, bytes] = {}
+        self.long: list[str] = []
 
     def _encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, np.uint32).tobytes()
 
-    def _encode_letters(self, words: list[str]) -> None:
-        """Remember words of Latin letters, encoded in one call."""
+    def _encode_letters(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Add words of Latin letters, encoded in one call, to those known."""
         if not words:
             return
-        ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        # The fast form leaves out the pieces' places in the text.
+        (found,) = self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
         cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(cuts) == len(words):
             data = ids.tobytes()
-            self.letters.update(zip(words, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
+            known.update(zip(words, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
         else:
-            self.letters.update((w, self._encode(w)) for w in words)
+            known.update((w, self._encode(w)) for w in words)
+
+    def _plain(self, text: str) -> str:
+        """The text with fewer different words, if that changes no id."""
+        if _UNLIKE.search(text):
+            return text
+        low = text.lower()
+        if any(token in low for token in self.added):
+            return text
+        return _TAIL.sub(r" \g<0>", low)
 
     def learn(self, texts: list[str]) -> list[list[str]]:
         """Encode the words of some texts that aren't known yet; returns the
         words of each text."""
-        split = [text.split() for text in texts]
+        split = [self._plain(text).split() for text in texts]
         new: set[str] = set().union(*split)
         if len(self.words) + len(new) > CACHED_WORDS:
-            self.words = {}
+            # What these texts use again is kept.
+            self.words = {w: self.words[w] for w in new.intersection(self.words)}
         if len(self.letters) > CACHED_WORDS:
             self.letters = {}
         new.difference_update(self.words)
+        plain = [w for w in new if len(w) <= CACHED_CHARS and w.isascii() and w.isalpha() and w.islower()]
+        self._encode_letters(plain, self.words)
+        new.difference_update(plain)
         parts, single = [], []
         for word in new:
             core = word.rstrip(_MARKS)
@@ -114,7 +140,7 @@ class WordTokenizer:
             else:
                 single.append(word)
         letters = self.letters
-        self._encode_letters([w for w in {p[1] for p in parts} if w not in letters])
+        self._encode_letters([w for w in {p[1] for p in parts} if w not in letters], letters)
         tails = {"": b""}
         for word, core, tail in parts:
             if tail not in tails:
@@ -122,18 +148,20 @@ class WordTokenizer:
             self.words[word] = letters[core] + tails[tail]
         for word in single:
             self.words[word] = self._encode(word)
+        self.long += [w for w in new if len(w) > CACHED_CHARS]
         return split
 
     def ids(self, text: str, words: list[str]) -> np.ndarray:
         """Ids of a text whose words are known."""
-        if not text.isprintable() and not _OTHER_SPACE.isdisjoint(text):
+        if _OTHER_SPACE.search(text):
             return np.frombuffer(self._encode(text), np.uint32)
         return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint32)
 
     def forget_long(self) -> None:
         """Drop words that aren't worth their memory."""
-        for word in [w for w in self.words if len(w) > CACHED_CHARS]:
-            del self.words[word]
+        for word in self.long:
+            self.words.pop(word, None)
+        self.long = []
 
 
 @lru_cache(maxsize=1)
@@ -142,9 +170,7 @@ def word_tokenizer(vocabulary: str | None) -> WordTokenizer:
     return WordTokenizer(vocabulary)
 
 
-PIECES = (
-    "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
-)
+PIECES = "doc_id long, piece int, start long, length long, ids binary, task int, place long"
 
 
 def _tokenise(capacity: int, end_id: int, vocabulary: str | None):
@@ -160,11 +186,10 @@ def _tokenise(capacity: int, end_id: int, vocabulary: str | None):
                 ids = np.append(tokenizer.ids(text, words), np.uint32(end_id)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start : start + capacity]
-                    rows.append((doc, number, start, len(own), zlib.crc32(own.tobytes()),
-                                 task, seen[len(own)]))
+                    rows.append((doc, number, start, len(own), own.tobytes(), task, seen[len(own)]))
                     seen[len(own)] += 1
             tokenizer.forget_long()
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
             columns = zip(*rows) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds)],
@@ -309,9 +334,9 @@ def _place(shared):
             _, from_rank, first, each, offset = plan[row].T
             step = rank - from_rank
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")),
+                [*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids")),
                  pa.array(first + step // each), pa.array(offset + step % each * length)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+                names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
             )
 
     return run
@@ -327,7 +352,8 @@ def pack_documents(
     vocabulary: str | None = None,
 ) -> DataFrame:
     """Pieces of all documents with their place in a sequence: doc_id, piece,
-    start, length, ids_crc32, sequence_id, offset.
+    start, length, ids, sequence_id, offset. `ids` holds the piece's token ids, four
+    bytes each, the lowest first; a sequence is its pieces' ids by `offset`.
 
     A null or empty text is the end id alone. Only a document longer than the
     capacity is cut. Rows may repeat, and each is packed. `vocabulary` is the
@@ -347,24 +373,30 @@ def pack_documents(
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    before = materialize(
+        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "ranks"
+    )
     histogram = {
-        r["length"]: r["n"]
-        for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+        r["length"]: r["n"] for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()
     }
     shared = docs.sparkSession.sparkContext.broadcast(plan_places(plan_bins(histogram, capacity)))
-    return pieces.join(before.drop("n"), ["length", "task"]).mapInArrow(
+    offsets = before.drop("n")
+    if before.count() <= BROADCAST_ROWS:  # beyond, pieces and offsets are shuffled
+        offsets = F.broadcast(offsets)
+    return pieces.join(offsets, ["length", "task"]).mapInArrow(
         _place(shared),
-        "doc_id long, piece int, start long, length long, ids_crc32 long, "
+        "doc_id long, piece int, start long, length long, ids binary, "
         "sequence_id long, offset long",
     )
 
 
 @query("op1_packing")
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    packed = pack_documents(table(spark, sf_dir, "documents"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last one: the packed pieces of what is left."""
-    return pack_documents(docs)
+    """Pipeline stage, the last one: the packed pieces of what is left, with their
+    ids and a checksum of them."""
+    return pack_documents(docs).withColumn("ids_crc32", F.crc32("ids"))
