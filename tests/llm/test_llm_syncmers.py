@@ -124,3 +124,19 @@ def test_matching_is_the_longest_common_subsequence(monkeypatch):
         assert y._by_pairs(both, at) == y._by_bits(both, at, len(b)) == plain(a, b)
     forth, back = np.arange(50), np.arange(50)[::-1]
     assert y.likeness(forth, back) == 0.02  # equal sets, but in another order
+
+
+def test_ranges_hold_about_equal_bytes(spark, monkeypatch):
+    """A stretch of ids with long texts is cut into more ranges, each its own task."""
+    rows = [(i, prose(i, 2000 if 300 <= i < 400 else 5)) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bounds = []
+    deal = y._deal
+    monkeypatch.setattr(y, "_deal", lambda b: bounds.append(b) or deal(b))
+    got = y.compare_with_next(docs)
+    (cuts,) = bounds
+    held = np.zeros(len(cuts), np.int64)
+    for doc, text in rows:
+        held[len(cuts) - 1 - np.searchsorted(cuts[::-1], doc)] += len(text)
+    assert held.max() < 4 * held.sum() / len(cuts)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows)

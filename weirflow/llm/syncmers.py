@@ -29,7 +29,7 @@ SKETCH = 256  # of a sketch, where a caller asks for one
 MASK_BYTES = 64 << 20
 HASH_BITS = 32
 CHUNK_CHARS = 400_000
-ROWS_PER_PARTITION = 4_000
+PART_BYTES = 32 << 20
 NO_ID = int(np.iinfo(np.int64).min)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -288,17 +288,25 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
     Rows of one id follow each other by descending text, rows without an id come
     last, and a null text is empty. A single document is its own next one. Texts
-    are shuffled once, by ranges of the id; each range is read in order, row by
-    row."""
+    are shuffled once, by ranges of the id that hold about equal bytes, one range to
+    a task; each range is read in order, row by row. Rows of one id, or without one,
+    are not split."""
     spark = docs.sparkSession
-    count, top = docs.agg(F.count("doc_id"), F.max("doc_id")).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // ROWS_PER_PARTITION))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    count, total, top = docs.agg(F.count("doc_id"), F.sum(size), F.max("doc_id")).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // PART_BYTES))
+    # A row counts once and once more for each mean size it holds, so that cuts
+    # follow rows and bytes; there are at most twice as many of these as rows.
+    mean = max(1, (total or 0) // max(1, count))
+    weighed = docs.select(F.explode(
+        F.array_repeat("doc_id", (F.lit(1) + F.floor(size / F.lit(mean))).cast("int"))
+    ).alias("doc_id"))
     cuts = [1 - i / parts for i in range(parts)]
-    found = docs.agg(F.percentile_approx("doc_id", cuts, 10 * parts)).first()[0] or [NO_ID]
+    found = weighed.agg(F.percentile_approx("doc_id", cuts, 10 * parts)).first()[0] or [NO_ID]
     bounds = np.array(sorted({*found, NO_ID if top is None else top}, reverse=True), np.int64)
     dealt = docs.select("doc_id", "text").mapInArrow(_deal(bounds), DEALT)
     return (
-        dealt.repartition(len(bounds), "part")
+        dealt.repartitionById(len(bounds), "part")
         .sortWithinPartitions(
             "part", "ghost", F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()
         )
