@@ -7,7 +7,9 @@ import xxhash
 from llm_cases import ids, no_documents, odd_documents
 from weirflow.llm.catalog import all_queries
 from weirflow.llm.common import as_rows
-from weirflow.llm.simhash import components, fingerprint, keep_one_of_each, linked_pairs, simhash_groups
+from weirflow.llm.simhash import (
+    components, fingerprint, keep_one_of_each, linked_pairs, simhash_groups, start_nodes,
+)
 
 
 def plain_fingerprint(text):
@@ -58,8 +60,8 @@ def test_query_equals_brute_force(spark, sf, documents):
         assert r["component_id"] == smallest[root[prints[r["doc_id"]]]]
 
 
-@pytest.mark.parametrize("bucket_rows", [4, 1024])
-def test_dense_groups_are_split_and_stay_whole(spark, bucket_rows):
+@pytest.mark.parametrize("bucket_rows, block_rows", [(4, 3), (4, 1000), (1024, 1000)])
+def test_dense_groups_are_split_and_stay_whole(spark, bucket_rows, block_rows):
     rng = np.random.default_rng(3)
     prints = set()
     for base in rng.integers(0, 1 << 63, 12, dtype=np.uint64):
@@ -70,7 +72,7 @@ def test_dense_groups_are_split_and_stay_whole(spark, bucket_rows):
             prints.add(value)
     signed = [(int(np.uint64(p).view(np.int64)),) for p in prints]
     df = spark.createDataFrame(signed, "fp long")
-    roots = {r["node"]: r["root"] for r in components(linked_pairs(df, 3, bucket_rows)).collect()}
+    roots = {r["node"]: r["root"] for r in components(linked_pairs(df, 3, bucket_rows, block_rows)).collect()}
     expected = groups_of(prints)
     by_root, by_expected = {}, {}
     for p in prints:
@@ -80,6 +82,19 @@ def test_dense_groups_are_split_and_stay_whole(spark, bucket_rows):
     assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, by_expected.values()))
 
 
+def test_one_large_cluster_is_dealt_to_bounded_nodes(spark):
+    """Fingerprints that agree in all but eleven low bits, started in blocks."""
+    prints = [(i,) for i in range(0, 2048, 3)]
+    df = spark.createDataFrame(prints, "fp long")
+    sizes = start_nodes(df, 3, 8, 10).groupBy("path", "node").count().collect()
+    assert max(r["count"] for r in sizes) <= 45
+    assert max(r["count"] for r in start_nodes(df, 3, 8).groupBy("path", "node").count().collect()) > 300
+    links = linked_pairs(df, 3, 8, 10)
+    roots = {r["node"]: r["root"] for r in components(links).collect()}
+    expected = groups_of([p for p, in prints])
+    assert {p: roots.get(p, p) for p, in prints} == expected
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)], "a long, b long")
     assert {r["root"] for r in components(edges).collect()} == {0}

@@ -11,8 +11,11 @@ The trie is dealt out by its upper levels. Of `distance + 1` blocks of bits a
 linked pair shares at least one, so the trie is walked once for every block
 moved to the top, starting at node pairs that have the whole block in common.
 A start node with more than `bucket_rows` fingerprints is started again deeper,
-below one of `distance + 1` blocks of its remaining bits; this stays complete
-and splits groups of any size over many tasks.
+below one of `distance + 1` blocks of its remaining bits. Nodes that are still
+large after `LEVELS` such steps, like one large cluster of lightly edited copies, are
+split into blocks by hash, and every pair of blocks is walked as a node of its own.
+All this stays complete, and no task holds a node of more than about twice
+`block_rows` fingerprints.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ BITS = 64
 SEED = 42
 BUCKET_ROWS = 1024
 LEVELS = 3
+BLOCK_ROWS = 15_000
 JOIN_ROWS = 30_000
 FRONTIER = 400_000
 LEAF = 16
@@ -102,7 +106,31 @@ def _deeper(
     return whole.withColumn("node", node), fixed_after
 
 
-def start_nodes(prints: DataFrame, distance: int, bucket_rows: int) -> DataFrame:
+def _in_block_pairs(nodes: DataFrame, block_rows: int) -> DataFrame:
+    """Nodes of more than two blocks once for every pair of their blocks."""
+    huge = materialize(
+        nodes.groupBy("path", "node").agg(F.count(F.lit(1)).alias("size"))
+        .filter(F.col("size") > 2 * block_rows)
+        .select("path", "node", F.ceil(F.col("size") / block_rows).alias("blocks")),
+        "simhash-huge",
+    )
+    if huge.isEmpty():
+        return nodes
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    split = (
+        nodes.join(huge, ["path", "node"]).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .filter("own != other")
+        .withColumn("path", F.concat(
+            "path", F.lit("/"), F.least("own", "other"), F.lit("-"), F.greatest("own", "other")
+        ))
+    )
+    return nodes.join(huge, ["path", "node"], "left_anti").unionByName(split.select(*nodes.columns))
+
+
+def start_nodes(
+    prints: DataFrame, distance: int, bucket_rows: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """(path, node, fixed, bits, fp): the node pairs the walk starts from."""
     starts = prints.select(
         "fp", F.col("fp").alias("bits"), F.lit(0).alias("fixed"), F.lit("").alias("path")
@@ -111,7 +139,7 @@ def start_nodes(prints: DataFrame, distance: int, bucket_rows: int) -> DataFrame
     for level in range(LEVELS):
         nodes, fixed = _deeper(starts, fixed, distance)
         if level == LEVELS - 1:
-            done.append(nodes)
+            done.append(_in_block_pairs(nodes, block_rows))
             break
         large = materialize(
             nodes.groupBy("path", "node").agg(F.count(F.lit(1)).alias("size"))
@@ -261,10 +289,12 @@ def _links(rows: pa.Table, groups: np.ndarray, distance: int):
     )
 
 
-def linked_pairs(prints: DataFrame, distance: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def linked_pairs(
+    prints: DataFrame, distance: int, bucket_rows: int = BUCKET_ROWS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """(a, b), a > b: a forest that spans all links between the distinct
     fingerprints `fp`; links that close a circle within a task are left out."""
-    starts = start_nodes(prints, distance, bucket_rows)
+    starts = start_nodes(prints, distance, bucket_rows, block_rows)
     found = (
         starts.repartition(F.col("path"), F.col("node"))
         .sortWithinPartitions("path", "node")
