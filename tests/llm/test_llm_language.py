@@ -42,6 +42,17 @@ def test_held_out_accuracy(spark, sf, documents):
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.97 * len(held)
 
 
+def test_a_rare_language_is_learned(spark):
+    """The sample is taken per language, so a frequent one crowds out no other."""
+    rows = [(i, f"the quiet river and a lazy dog number {'x' * (i % 7)}", "en") for i in range(4000)]
+    rows += [(10_000 + i, "zwölf süße Äpfel fürs Frühstück", "de") for i in range(5)]
+    rows += [(None, f"words without any id {'y' * (i % 50)}", "en") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs, training_documents=20)
+    assert model.languages == ["de", "en"]
+    assert model.predict(["süße Äpfel"])[0]["lang_pred"] == "de"
+
+
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     model = fit_languages(docs)

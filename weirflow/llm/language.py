@@ -24,7 +24,7 @@ UNDETERMINED = "und"
 SLOT_BITS = 20
 HASHES = 2
 LANGUAGES_PER_PLANE = 62
-TRAINING_DOCUMENTS = 30_000
+TRAINING_DOCUMENTS = 7_500
 CHUNK_CHARS = 500_000
 
 RESULT = T.StructType([
@@ -157,8 +157,9 @@ def fit_languages(
 ) -> LanguageModel:
     """Learn the filters of all languages in `lang`.
 
-    About `training_documents` documents with text and language are used,
-    chosen by a hash of `key` over the whole table. An n-gram enters the filter
+    About `training_documents` documents of every language are used (all, if it
+    has fewer), chosen by a hash of `key` and `text` over the whole table, so that
+    a rare language is learned at every size. An n-gram enters the filter
     of a language when it occurs `least_count` times there, at `least_share` or
     more of the highest rate it has in any language. Without labelled text the
     model knows no language. The driver gets the language names and at most
@@ -168,10 +169,14 @@ def fit_languages(
     usable = docs.select(
         docs[key].alias("key"), docs[text].alias("text"), docs[lang].alias("lang")
     ).filter("text is not null and lang is not null")
-    there = usable.agg(F.count(F.lit(1))).first()[0]
-    share = min(1.0, training_documents / max(1, there))
-    place = F.pmod(F.xxhash64(F.lit("training"), "key"), F.lit(1 << 40))
-    sample = usable.filter(place < F.lit(int(share * (1 << 40)))).select("text", "lang")
+    # Languages with more documents, and up to which hash theirs are taken.
+    limits = {r["lang"]: training_documents * (1 << 40) // r["count"]
+              for r in usable.groupBy("lang").count().collect() if r["count"] > training_documents}
+    place = F.pmod(F.xxhash64(F.lit("training"), "key", "text"), F.lit(1 << 40))
+    sample = usable.select("text", "lang")
+    if limits:
+        known = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+        sample = usable.filter(place < F.coalesce(known[F.col("lang")], F.lit(1 << 40))).select("text", "lang")
     counted = materialize(
         sample.mapInArrow(_count_batches, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")),
