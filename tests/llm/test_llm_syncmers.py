@@ -85,7 +85,10 @@ def test_odd_documents(spark):
 def test_fingerprints_of_a_table(spark):
     got = y.fingerprint_documents(odd_documents(spark)).collect()
     assert len(got) == odd_documents(spark).count()
-    assert all(len(r["hashes"]) == len(r["places"]) <= y.SKETCH for r in got)
+    assert all(len(r["hashes"]) == len(r["places"]) for r in got)
+    assert max(len(r["hashes"]) for r in got) > y.SKETCH  # all anchors, no sketch
+    small = y.fingerprint_documents(odd_documents(spark), size=y.SKETCH).collect()
+    assert max(len(r["hashes"]) for r in small) == y.SKETCH
     assert all(8 * len(r["hashes"]) == len(r["fingerprint"]) for r in got)
 
 
@@ -99,7 +102,7 @@ def test_long_documents_keep_all_anchors(spark):
     (own, _), (nxt, _), (common, _) = y.sketches([a + passage + a, b + passage, passage])
     assert got[2]["near_next"] >= 2 * (len(common) - 4) / (len(own) + len(nxt))
     assert len(got[2]["fingerprint"]) == 8 * len(plain_places(a + passage + a))
-    whole = {r["key"]: r for r in y.fingerprint_documents(docs, size=None).collect()}
+    whole = {r["key"]: r for r in y.fingerprint_documents(docs).collect()}
     assert whole[2]["fingerprint"] == got[2]["fingerprint"]
     assert whole[2]["places"] == plain_places(a + passage + a)
 

@@ -192,10 +192,10 @@ def sketches(texts: list[str], size: int | None = None) -> list[tuple[np.ndarray
 
 
 def fingerprint_documents(
-    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int | None = SKETCH
+    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int | None = None
 ) -> DataFrame:
     """key, fingerprint (hex of the hashes), hashes and places of every row, where
-    it stands: the sketch of `size`, or with None all anchors, as op10 has them.
+    it stands: all anchors, as op10 has them, or with a `size` only the sketch of it.
     A null or empty text has no anchors."""
 
     def run(batches):
