@@ -53,3 +53,11 @@ def test_odd_tables(spark):
     none = t.fit_severity(docs, labels.limit(0))
     assert t.grade_toxicity(as_rows(docs), none).filter("result.severity > 0").count() == 0
     assert t.grade_toxicity(as_rows(no_documents(spark)), model).count() == 0
+
+
+def test_long_words_are_told_apart():
+    a, b = "x" * 40, "x" * 39 + "y"
+    assert not (t.features(a) & t.features(b)) - {"xxxx*", "xxxxx*", "xxxxxx*"}
+    assert t.features(a) - t.features(b) and len(max(t.features(a), key=len)) < 40
+    model = t.SeverityModel({t.bases(a)[0]: 0, t.bases(b)[0] + "2": 1}, np.zeros(2), np.array([0.0]))
+    assert model.vectors([a, b, f"{b} {b}", None]) == [[0], [], [1], []]

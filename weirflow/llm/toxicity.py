@@ -9,6 +9,7 @@ document's vector is short.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable
@@ -41,9 +42,13 @@ RESULT = T.StructType([
 
 
 def bases(word: str) -> list[str]:
-    """A word and its beginnings of 4 to 6 letters."""
-    whole = [word] if len(word) <= LONGEST_WORD else []
-    return whole + [word[:k] + "*" for k in (4, 5, 6) if len(word) > k]
+    """A word and its beginnings of 4 to 6 letters. A word of more than
+    `LONGEST_WORD` letters stands there by its digest, between two marks that no
+    other base or form ends in."""
+    whole = word
+    if len(word) > LONGEST_WORD:
+        whole = f"#{hashlib.blake2b(word.encode(), digest_size=16).hexdigest()}#"
+    return [whole] + [word[:k] + "*" for k in (4, 5, 6) if len(word) > k]
 
 
 def forms(base: str, count: int, words: int) -> list[str]:
