@@ -123,3 +123,13 @@ def test_odd_pages(spark):
     assert {r["result"]["text"] for r in rows if not r["row"]["html"]} == {""}
     empty = pages.limit(0)
     assert e.extract(as_rows(empty), e.fit_extractor(empty)).count() == 0
+
+
+def test_pages_with_an_article_are_found_among_many_without(spark, sf):
+    """The sample is drawn among the pages that mark an article."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").limit(40)
+    other = spark.range(10_000, 12_000).selectExpr("id as page_id", "concat('<nav>menu ', id, '</nav>') as html")
+    model = e.fit_extractor(pages.unionByName(other), training_pages=40)
+    page = dom.parse("<nav><a>Home</a></nav><article><h1>T</h1><p>" + "Some long words. " * 20 + "</p></article>")
+    text, _ = e.main_text(page, model.log_odds(dom.node_features(page)))
+    assert "Some long words." in text and "Home" not in text

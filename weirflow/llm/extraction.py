@@ -33,7 +33,11 @@ DEPTH = 4
 BINS = 32
 RATE = 0.2
 LEAST_WEIGHT = 20.0
+#: What invented layouts take of a training page.
+PASSAGES = 40
 PASSAGE_CHARS = 4_000
+#: The start of an article element.
+ARTICLE = r"(?i)<article[\s/>]"
 
 #: Ways to mark up the parts of invented pages; "" leaves a part unmarked.
 PARTS = {
@@ -216,7 +220,7 @@ def training_nodes(sources: list[str], layouts: int = LAYOUTS_PER_PAGE):
             page.label[i] = 1
         heading = page.tag[article[0]] in ("h1", "h2")
         title = page.text[article[0]] if heading else ""
-        passages = [page.text[i][:PASSAGE_CHARS] for i in article[heading:]][:40]
+        passages = [page.text[i][:PASSAGE_CHARS] for i in article[heading:]][:PASSAGES]
         made = Layouts(number, short, long)
         for one in [page, *(parse(made.page(title, passages)) for _ in range(layouts))]:
             features.append(node_features(one))
@@ -351,10 +355,13 @@ def fit_extractor(
     pages: DataFrame, *, source: str = "html", key: str = "page_id",
     training_pages: int = TRAINING_PAGES,
 ) -> BoostedTrees:
-    """Learn from up to `training_pages` pages, chosen by a hash of the key over
-    the whole table. If none of them marks an article, everything is kept."""
-    known = pages.select(pages[key].alias("key"), pages[source].alias("html")).filter("html is not null")
-    chosen = hash_sample(known, training_pages, "key").select("html")
+    """Learn from up to `training_pages` pages that mark one article, chosen by a
+    hash of the key among all such pages of the table. If there is none, everything
+    is kept. Equal pages are learned from once. Invented layouts hold up to
+    `PASSAGES` passages of a page, up to `PASSAGE_CHARS` characters of each."""
+    known = pages.select(pages[key].alias("key"), pages[source].alias("html"))
+    marked = known.filter(F.regexp_count("html", F.lit(ARTICLE)) == 1)
+    chosen = hash_sample(marked, training_pages, "key").select("html")
     rows, labels = training_nodes(list(dict.fromkeys(r["html"] for r in chosen.collect())))
     return fit_trees(rows, labels)
 
