@@ -4,6 +4,7 @@ import csv
 import io
 import json
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F, types as T
 from weirflow.schemas import struct_of
 from weirflow.sinks.files import save_json_document
 from weirflow.sources.records import (
-    JSON_ARRAY, _Quoting, json_cut, json_effect, read_csv_quoted_lines, read_json_array_split,
-    scan_chunks,
+    CHUNK_BYTES, JSON_ARRAY, _Quoting, _chunks, _effects, _seams, json_cut, json_effect,
+    read_csv_quoted_lines, read_json_array_split, scan_chunks,
 )
 
 SIZES = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
@@ -189,3 +190,34 @@ def test_document_in_parts(spark, tmp_path, small_partitions):
     save_json_document(rows.limit(0), str(path))
     assert json.loads("".join(p.read_text() for p in sorted(path.glob("part-*")))) == []
     assert read_json_array_split(spark, str(path), rows.schema, parts=True).count() == 0
+
+
+def test_a_task_holds_one_chunk_of_a_split(spark, tmp_path):
+    """Chunks are bounded, and a split of many gives its effect as one row."""
+    piece = '{"a": "],[' + "x" * 1_000_000 + '"}'
+    pieces = ["[" + piece, *[piece] * 10, piece + "]"]
+    values = ",".join(pieces).split(",")
+    taken = []
+
+    def batches():
+        for i in range(0, len(values), 15):
+            taken.append(i)
+            some = values[i:i + 15]
+            yield pa.RecordBatch.from_pydict({
+                "path": [""] * len(some), "block": ["b"] * len(some), "quoted": pa.array([0] * len(some), pa.int32()),
+                "depth": [0] * len(some), "value": some,
+            })
+
+    texts = [text for _, text in _chunks(batches(), ",")]
+    assert b"".join(texts).decode() == ",".join(values) + ","
+    assert len(texts) > 3 and max(map(len, texts)) <= CHUNK_BYTES + 1_000_100
+    (row,) = [r for b in _effects(JSON_ARRAY)(batches()) for r in b.to_pylist()]
+    fixed, flips, outside, inside = json_effect(b"".join(texts))
+    assert row == {"path": "", "block": "b", "fixed": fixed, "flips": flips, "outside": outside, "inside": inside}
+    taken.clear()
+    first = next(iter(_seams(JSON_ARRAY)(batches())))
+    assert taken == [0] and first.num_rows == 2
+
+    (tmp_path / "one.json").write_text(",".join(pieces))
+    got = read_json_array_split(spark, str(tmp_path), struct_of(a="string"))
+    assert [len(r.a) for r in got.collect()] == [1_000_003] * 12

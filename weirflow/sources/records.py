@@ -4,8 +4,10 @@ top-level commas, delimited text at line ends outside quotes.
 Where a record ends depends on all that stands before: whether a quote is open
 and, in JSON, how deep brackets are nested. Every task reads chunks of its split
 and reduces each to its effect on that state, without knowing the state it starts
-from. A prefix scan over the effects, one small row per chunk, gives the state at
-each start, and a second reading cuts the chunks. What a chunk has before its
+from. The effects of a split's chunks make up that of the split; a prefix scan over
+these, one small row per split, gives the state at each start, and a second reading
+cuts the chunks, each from the state the one before left. So a task holds one chunk
+at a time, of bounded size, however large its split. What a chunk has before its
 first and after its last bound joins with that of its neighbours; only these seams
 are shuffled.
 
@@ -22,14 +24,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from weirflow.session import ship_package
 from weirflow.workspace import materialize
 
-CHUNK = "path string, block string, seq long, text string"
-EFFECT = "path string, block string, seq long, fixed int, flips int, outside long, inside long"
+EFFECT = "path string, block string, fixed int, flips int, outside long, inside long"
 PIECE = "path string, block string, seq long, kind int, text string"
+RECORD = "path string, text string"
+#: Bytes of a chunk, if none of its pieces is longer.
+CHUNK_BYTES = 4 << 20
 HEAD, WHOLE, TAIL = 0, 1, 2
 
 #: (fixed, flips, outside, inside): the state of the quote after the chunk, if it
@@ -50,49 +55,80 @@ class Grammar:
     cut: Callable[[bytes, int, int], list[bytes]]
 
 
-def _chunks(separator: str):
-    """Runs of pieces of one split, joined; a separator follows each piece."""
+def _after(effect: Effect, quoted: int) -> int:
+    fixed, flips, _, _ = effect
+    return ((quoted if fixed is None else fixed) + flips) % 2
 
-    def run(batches):
-        numbers: dict[tuple[str, int], int] = {}
-        for batch in batches:
-            paths, blocks = batch.column("path").to_pylist(), batch.column("block").to_pylist()
-            starts = [i for i in range(len(paths))
-                      if not i or (paths[i], blocks[i]) != (paths[i - 1], blocks[i - 1])]
-            for s, e in zip(starts, [*starts[1:], len(paths)]):
-                place = (paths[s], blocks[s])
-                numbers[place] = number = numbers.get(place, -1) + 1
-                text = separator.join(batch.column("value").slice(s, e - s).to_pylist()) + separator
-                yield pa.RecordBatch.from_pydict({
-                    "path": [place[0]], "block": [place[1]], "seq": [number], "text": [text],
-                })
 
-    return run
+def _change(effect: Effect, quoted: int) -> int:
+    return effect[3] if quoted else effect[2]
+
+
+def _then(first: Effect, second: Effect) -> Effect:
+    """The effect of two texts in a row."""
+    between = [_after(first, q) for q in (0, 1)]
+    ends = [_after(second, q) for q in between]
+    outside, inside = (_change(first, q) + _change(second, between[q]) for q in (0, 1))
+    if ends[0] == ends[1]:
+        return ends[0], 0, outside, inside
+    return None, ends[0], outside, inside
+
+
+def _chunks(batches, separator: str) -> Iterator[tuple[dict, bytes]]:
+    """(the columns beside the text, text) of each chunk: a run of pieces of one
+    split, joined; a separator follows each piece."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column("value").cast(pa.binary())
+        lengths = np.asarray(pc.binary_length(values)).astype(np.int64) + len(separator)
+        new = np.diff(np.cumsum(lengths) // CHUNK_BYTES) > 0
+        for name in ("path", "block"):
+            place = batch.column(name)
+            new |= np.asarray(pc.not_equal(place[1:], place[:-1]).to_numpy(zero_copy_only=False))
+        starts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        others = batch.drop_columns(["value"])
+        for s, e in zip(starts, starts[1:]):
+            pieces = pa.ListArray.from_arrays([0, e - s], values.slice(s, e - s))
+            text = pc.binary_join(pieces, separator.encode())[0].as_py() + separator.encode()
+            yield others.slice(s, 1).to_pylist()[0], text
 
 
 def scan_chunks(spark: SparkSession, path, separator: str, parts: bool) -> DataFrame:
-    """(path, block, seq, text): the chunks of every split in their order. `path` is
+    """(path, block, value): the pieces of every split in their order. `path` is
     the document, `block` orders its splits; with `parts` all files together are one
     document, in the order of their names."""
     ship_package(spark)
     file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     start = F.lpad(start.cast("string"), 20, "0")
-    pieces = spark.read.option("lineSep", separator).text(path).select(
+    return spark.read.option("lineSep", separator).text(path).select(
         (F.lit("") if parts else file).alias("path"),
         (F.concat(file, F.lit("/"), start) if parts else start).alias("block"), "value",
     )
-    return pieces.mapInArrow(_chunks(separator), CHUNK)
 
 
 def _effects(grammar: Grammar):
+    """One row per split: what its chunks do together."""
+
+    def row(place: tuple[str, str], effect: Effect):
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        columns = [pa.array([v], k) for v, k in zip((*place, *effect), kinds)]
+        return pa.RecordBatch.from_arrays(
+            columns, names=["path", "block", "fixed", "flips", "outside", "inside"]
+        )
+
     def run(batches):
-        for batch in batches:
-            rows = [grammar.effect(t.encode()) for t in batch.column("text").to_pylist()]
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
-                names=["path", "block", "seq", "fixed", "flips", "outside", "inside"],
-            )
+        last = total = None
+        for at, text in _chunks(batches, grammar.separator):
+            place, effect = (at["path"], at["block"]), grammar.effect(text)
+            if place == last:
+                total = _then(total, effect)
+                continue
+            if last:
+                yield row(last, total)
+            last, total = place, effect
+        if last:
+            yield row(last, total)
 
     return run
 
@@ -130,54 +166,63 @@ def _summed(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def start_states(effects: DataFrame) -> DataFrame:
-    """(path, block, seq, quoted, depth) at the start of every chunk, and the change
-    of both through it (`quoted_after`, `change`).
-
-    Effects are composed within a split first, then over the splits of a file; one
-    row per split passes through one task.
-    """
-    inner = _composed(effects, ["path", "block"], "seq")
-    last = F.max_by(F.struct(F.col("fixed_to").alias("fixed"), F.col("flips_to").alias("flips")), "seq")
-    splits = inner.groupBy("path", "block").agg(last.alias("last")).select("path", "block", "last.*")
-    blocks = _composed(splits, ["path"], "block")
-    outer = blocks.select("path", "block", F.pmod(
-        F.coalesce("fixed_before", F.lit(0)) + F.col("flips_before"), F.lit(2)
-    ).alias("block_quoted"))
+    """(path, block, quoted, depth) at the start of every split, and the change of
+    both through it (`quoted_after`, `change`). One row per split of a document
+    passes through one task."""
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
     def after(fixed, flips, start):
         return F.pmod(F.coalesce(fixed, start) + flips, F.lit(2))
 
-    known = inner.join(outer, ["path", "block"]).withColumn(
-        "quoted", after(F.col("fixed_before"), F.col("flips_before"), F.col("block_quoted"))
+    return _composed(effects, ["path"], "block").withColumn(
+        "quoted", after(F.col("fixed_before"), F.col("flips_before"), F.lit(0))
     ).withColumns({
         "quoted_after": after(F.col("fixed"), F.col("flips"), F.col("quoted")),
         "change": F.when(F.col("quoted") == 1, F.col("inside")).otherwise(F.col("outside")),
-    })
-    return _summed(known, "change", "depth").select(
-        "path", "block", "seq", F.col("quoted").cast("int").alias("quoted"), "depth", "change", "quoted_after"
+    }).select(
+        "path", "block", F.col("quoted").cast("int").alias("quoted"),
+        F.coalesce(F.sum("change").over(before), F.lit(0)).alias("depth"), "change", "quoted_after",
     )
 
 
-def _cut(grammar: Grammar, wanted: set[int]):
-    """Whole records, or the pieces at the ends of chunks, one of kind WHOLE where a
-    chunk has no bound at all."""
+def _placed(batches, grammar: Grammar) -> Iterator[tuple[str, str, int, list[bytes]]]:
+    """(path, block, seq, pieces) of each chunk, from the state at its split's start."""
+    last = None
+    for at, text in _chunks(batches, grammar.separator):
+        if (at["path"], at["block"]) != last:
+            last, seq, quoted, depth = (at["path"], at["block"]), 0, at["quoted"], at["depth"]
+        yield *last, seq, grammar.cut(text, quoted, depth)
+        effect = grammar.effect(text)
+        seq, depth, quoted = seq + 1, depth + _change(effect, quoted), _after(effect, quoted)
+
+
+def _whole(grammar: Grammar):
+    """The records within a chunk."""
+
+    def run(batches):
+        for path, _, _, pieces in _placed(batches, grammar):
+            texts = pa.array(pieces[1:-1], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(path, pa.string()), len(texts)), texts], names=["path", "text"]
+            )
+
+    return run
+
+
+def _seams(grammar: Grammar):
+    """The pieces at the ends of chunks, one of kind WHOLE where a chunk has no bound
+    at all."""
 
     def run(batches):
-        for batch in batches:
-            for path, block, seq, text, quoted, depth in zip(*[c.to_pylist() for c in batch.columns]):
-                pieces = grammar.cut(text.encode(), quoted, depth)
-                if WHOLE in wanted:
-                    kinds, pieces = [WHOLE] * (len(pieces) - 2), pieces[1:-1]
-                elif len(pieces) == 1:
-                    kinds = [WHOLE]
-                else:
-                    kinds, pieces = [HEAD, TAIL], [pieces[0], pieces[-1]]
-                yield pa.RecordBatch.from_pydict({
-                    "path": pa.array([path] * len(kinds), pa.string()),
-                    "block": pa.array([block] * len(kinds), pa.string()),
-                    "seq": pa.array([seq] * len(kinds), pa.int64()), "kind": pa.array(kinds, pa.int32()),
-                    "text": pa.array([p.decode() for p in pieces], pa.string()),
-                })
+        for path, block, seq, pieces in _placed(batches, grammar):
+            ends = [(WHOLE, pieces[0])] if len(pieces) == 1 else [(HEAD, pieces[0]), (TAIL, pieces[-1])]
+            yield pa.RecordBatch.from_pydict({
+                "path": pa.array([path] * len(ends), pa.string()),
+                "block": pa.array([block] * len(ends), pa.string()),
+                "seq": pa.array([seq] * len(ends), pa.int64()),
+                "kind": pa.array([k for k, _ in ends], pa.int32()),
+                "text": pa.array([t.decode() for _, t in ends], pa.string()),
+            })
 
     return run
 
@@ -190,19 +235,21 @@ def cut_records(
 
     `complete` fails if a document ends within quotes or brackets.
     """
-    chunks = scan_chunks(spark, path, grammar.separator, parts)
-    effects = materialize(chunks.mapInArrow(_effects(grammar), EFFECT), "effects")
+    pieces = scan_chunks(spark, path, grammar.separator, parts)
+    effects = materialize(pieces.mapInArrow(_effects(grammar), EFFECT), "effects")
     states = materialize(start_states(effects), "states")
     if complete:
         at_end = F.max_by(F.struct("quoted_after", (F.col("depth") + F.col("change")).alias("deep")),
-                          F.struct("block", "seq"))
+                          "block")
         ends = states.groupBy("path").agg(at_end.alias("end"))
         broken = ends.filter("end.quoted_after <> 0 OR end.deep <> 0").first()
         if broken:
             raise ValueError(f"{broken['path'] or path} ends within quotes or brackets [FAILFAST]")
-    placed = chunks.join(states.select("path", "block", "seq", "quoted", "depth"), ["path", "block", "seq"])
-    whole = placed.mapInArrow(_cut(grammar, {WHOLE}), PIECE)
-    seams = materialize(placed.mapInArrow(_cut(grammar, {HEAD, TAIL}), PIECE), "seams")
+    # A broadcast, whatever the number of splits: it leaves the pieces in their order.
+    starts = F.broadcast(states.select("path", "block", "quoted", "depth"))
+    placed = pieces.join(starts, ["path", "block"]).select("path", "block", "quoted", "depth", "value")
+    whole = placed.mapInArrow(_whole(grammar), RECORD)
+    seams = materialize(placed.mapInArrow(_seams(grammar), PIECE), "seams")
     tails = seams.groupBy("path", "block", "seq").agg(F.count_if(F.col("kind") == TAIL).alias("tails"))
     numbers = _summed(tails, "tails", "before").select("path", "block", "seq", "before")
     number = F.col("before") + F.when(F.col("kind") == TAIL, 1).otherwise(0)
@@ -237,7 +284,7 @@ def _open_quotes(data: np.ndarray) -> np.ndarray:
 
 def json_effect(text: bytes) -> Effect:
     data = np.frombuffer(text, np.uint8)
-    turns = np.cumsum(_open_quotes(data))
+    turns = np.cumsum(_open_quotes(data), dtype=np.uint8)  # wraps, still odd or even
     steps, odd = _STEPS[data], turns % 2 == 1
     return None, int(turns[-1] % 2), int(steps[~odd].sum()), int(steps[odd].sum())
 
@@ -246,7 +293,7 @@ def json_cut(text: bytes, quoted: int, depth: int) -> list[bytes]:
     """Bounds are the array's own brackets and the commas between its elements. What
     stands outside the array must be blank."""
     data = np.frombuffer(text, np.uint8)
-    outside = (np.cumsum(_open_quotes(data)) + quoted) % 2 == 0
+    outside = np.cumsum(_open_quotes(data), dtype=np.uint8) % 2 == quoted
     steps = np.where(outside, _STEPS[data], 0)
     depths = depth + np.cumsum(steps)
     opening, closing = (steps == 1) & (depths == 1), (steps == -1) & (depths == 0)
