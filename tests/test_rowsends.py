@@ -75,3 +75,18 @@ def test_a_failing_row_delivers_nothing(spark, tmp_path):
     with pytest.raises(Exception):
         send_rows(rows, folder_outbox(spark, str(box)), str(tmp_path / "c"), available_now=True).awaitTermination()
     assert lines(box) == {}
+
+
+def test_a_batch_is_sent_by_several_tasks(spark, tmp_path):
+    from weirflow.plans.streams import stream_foreach_rows
+
+    made = spark.range(2000).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "IF(id % 5 = 0, NULL, 'view') AS event_type", "id / 8 AS value"
+    )
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    sent = stream_foreach_rows(spark, str(tmp_path))
+    assert sorted(map(tuple, sent.collect()), key=str) == sorted(map(tuple, made.collect()), key=str)
+    deliveries = [f.rsplit("/", 1)[1].removesuffix(".json").split("-")[-2:] for f in sent.inputFiles()]
+    batches = [batch for batch, _ in deliveries]
+    assert set(batches) == {"0", "1", "2"}
+    assert all(batches.count(b) > 1 for b in set(batches))

@@ -220,12 +220,14 @@ def stream_committed_outputs(spark, sf):
 @plans.query("stream_foreach_rows", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_foreach_rows(spark, sf):
     """Events sent row by row from the executors, three micro-batches of them, as
-    an outside system has them afterwards."""
+    an outside system has them afterwards. A batch has a file for each task that the
+    session can run at once."""
     topic, outbox = _topic(spark, "rows-in"), new_path(spark, "outbox")
+    files = max(1, spark.sparkContext.defaultParallelism)
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    publish(as_messages(events.repartition(3, "event_id")), topic)
+    publish(as_messages(events.repartition(3 * files, "event_id")), topic)
     rows = parse_json_messages(
-        stream_messages(spark, topic, Reading(max_per_trigger=1)), events.schema
+        stream_messages(spark, topic, Reading(max_per_trigger=files)), events.schema
     ).select(*events.columns)
     run_until_stopped(send_rows(
         rows, folder_outbox(spark, outbox), new_path(spark, "checkpoint"), available_now=True

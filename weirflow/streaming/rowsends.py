@@ -21,6 +21,10 @@ from weirflow.sources.hadoop import qualified_name
 from weirflow.streaming.microbatch import BatchSink, batch_name, for_each_batch
 
 
+# `json.dumps` with options makes a new one for every row.
+_ENCODER = json.JSONEncoder(default=str)
+
+
 class Outbox(Protocol):
     def begin(self, name: str) -> bool:
         """Start a delivery; false if one of this name has been completed."""
@@ -89,11 +93,11 @@ class FolderOutbox:
         if self.store.get_file_info(self.target).type != fs.FileType.NotFound:
             return False
         self.store.create_dir(folder, recursive=True)
-        self.stream = self.store.open_output_stream(self.draft)
+        self.stream = self.store.open_output_stream(self.draft, buffer_size=1 << 20)
         return True
 
     def send(self, row: Row) -> None:
-        self.stream.write(json.dumps(row.asDict(True), default=str).encode() + b"\n")
+        self.stream.write(_ENCODER.encode(row.asDict(True)).encode() + b"\n")
 
     def commit(self) -> None:
         self.stream.close()
