@@ -313,3 +313,24 @@ def test_period_trigger_and_clean_stop(spark, tmp_path):
 def test_default_checkpoint():
     assert default_checkpoint("/x/y/", None) == "/x/y/.checkpoint"
     assert default_checkpoint("/x/y", "/z") == "/z"
+
+
+def test_scored_batches_are_kept_once(spark, tmp_path):
+    """One cached table a batch, with the text of unusable messages alone."""
+    source, model, kept = MessageFolder(str(tmp_path / "in")), str(tmp_path / "model"), []
+    csv = tmp_path / "iris.csv"
+    flower_csv(csv)
+    train_flowers(spark, str(csv), model)
+    flower = json.dumps({c: 1.5 for c in IRIS_MEASURES.fieldNames()})
+    send(spark, source, [flower, "{broken", flower])
+    already = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def sink(batch, batch_id):
+        rows = sorted(r.value for r in batch.collect())
+        kept.append((rows, spark.sparkContext._jsc.getPersistentRDDs().size() - already))
+
+    score_flowers_by_batch(
+        spark, source, sink, sink, model, str(tmp_path / "cp"), available_now=True
+    ).awaitTermination()
+    assert [n for _, n in kept] == [1, 1]
+    assert len(kept[0][0]) == 2 and kept[1][0] == ["{broken"]

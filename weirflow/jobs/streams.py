@@ -116,6 +116,7 @@ def score_flowers_by_batch(
         checkpoint,
         period_seconds=period_seconds,
         available_now=available_now,
+        keep=False,
     )
 
 

@@ -272,6 +272,7 @@ def stream_score(spark, sf):
         scoring_sink(model, message_sink(scored_topic), message_sink(bad_topic), **arguments),
         new_path(spark, "checkpoint"),
         available_now=True,
+        keep=False,
     ).awaitTermination()
 
     batch, _ = score_json_messages(read_messages(spark, topic), model, **arguments)

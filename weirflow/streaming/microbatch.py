@@ -28,12 +28,19 @@ def for_each_batch(
     *,
     period_seconds: float | None = None,
     available_now: bool = False,
+    keep: bool = True,
 ) -> StreamingQuery:
     """Hand every non-empty micro-batch to `sink(batch, batch_id)`. It is kept
     while the sink runs, so the source is read once however often the sink and
-    the test for rows use it."""
+    the test for rows use it. A sink that reads its batch once, as one that keeps
+    what it derives, does without (`keep=False`); the test for rows then reads up to
+    the first."""
 
     def call(batch: DataFrame, batch_id: int) -> None:
+        if not keep:
+            if not batch.isEmpty():
+                sink(batch, batch_id)
+            return
         batch.persist()
         try:
             if not batch.isEmpty():

@@ -8,7 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.functions.calendar import with_calendar
-from weirflow.functions.parsing import RAW, json_value, parse_json_messages, split_usable
+from weirflow.functions.parsing import (
+    RAW, all_present, json_value, parse_json_messages, split_usable,
+)
 from weirflow.schemas import IRIS_MEASURES, OCCUPANCY_LINE
 from weirflow.streaming.landing import timed_lines
 from weirflow.streaming.microbatch import BatchSink, both_outputs
@@ -56,10 +58,15 @@ def scoring_sink(
     predicted: str = "predictedSpecies",
     output: str = "predicted_species",
 ) -> BatchSink:
-    """Scores a micro-batch of raw JSON messages and hands both outputs on."""
+    """Scores a micro-batch of raw JSON messages and hands both outputs on. It keeps
+    the measures, and the text of unusable messages alone, so the batch itself need
+    not be kept."""
+    usable = all_present(measures.fieldNames())
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json_messages(batch, measures).persist()
+        parsed = parse_json_messages(batch, measures).withColumn(
+            RAW, F.when(~usable, F.col(RAW))
+        ).persist()
         try:
             both = both_outputs(
                 lambda rows: _score_parsed(rows, model, measures, predicted, output), sink, bad_sink
